@@ -216,7 +216,7 @@ def observations(accepted: DataFrame) -> DataFrame:
     """What the product source showed on each observation day.
 
     Every third product becomes dearer at the second observation, every fifth cheaper to
-    make at the third, and products of the largest sizes are gone by then.
+    make at the third, and products with frame sizes above 40 are gone by then.
     """
     key, day = F.col("product_key"), F.col("observed_on")
     price = F.when(
@@ -228,7 +228,7 @@ def observations(accepted: DataFrame) -> DataFrame:
         (F.floor(F.col("product_cost") * 90) / 100).cast("decimal(18,2)"),
     ).otherwise(F.col("product_cost"))
     days = F.array(*[F.lit(d) for d in OBSERVATIONS])
-    gone = (F.col("product_size") >= "45") & (F.col("product_size") < "M")
+    gone = F.col("product_size").try_cast("int") > 40
     return (
         accepted.select("*", F.explode(days).alias("observed_on"))
         .where(~(F.coalesce(gone, F.lit(False)) & (day >= F.lit(OBSERVATIONS[2]))))

@@ -76,7 +76,7 @@ def sales_increment(staged_log: DataFrame, dim_products: DataFrame, **tuning: in
 
 
 def sales_table(
-    path: str, orders_per_bucket: int = 2_000_000, files_per_bucket: int = 1, **options: str
+    path: str, orders_per_bucket: int = 2_000_000, files_per_bucket: int = 8, **options: str
 ) -> KeyedTable:
     """The sales fact as a keyed table, bucketed by ranges of the order number.
 

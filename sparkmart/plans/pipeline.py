@@ -70,10 +70,7 @@ class Warehouse:
 def _load(wh: Warehouse, sources: Mapping[str, DataFrame], names: tuple[str, ...], load_id: str):
     for name in names:
         load_replace(sources[name], wh.path("raw", name))
-        audit(
-            wh.spark, wh.path("raw", "audit"), f"{load_id}-{name}", name, "loaded",
-            sources[name].schema,
-        )
+        audit(wh.path("raw", "audit"), f"{load_id}-{name}", name, "loaded", wh.raw(name))
 
 
 def snapshot_products(wh: Warehouse, as_of: date) -> DataFrame:
@@ -100,10 +97,15 @@ def snapshot_products(wh: Warehouse, as_of: date) -> DataFrame:
 
 
 def refresh_dimensions(
-    wh: Warehouse, sources: Mapping[str, DataFrame], as_of: date, load_id: str
+    wh: Warehouse,
+    sources: Mapping[str, DataFrame],
+    as_of: date,
+    load_id: str,
+    *,
+    gated: bool = True,
 ) -> DataFrame:
     """The daily job: replace the raw tables, extend the history, rebuild the dimensions and
-    the returns, run their checks and raise if one fails. Gives the check results."""
+    the returns, run their checks and, if ``gated``, raise if one fails. Gives the results."""
     _load(wh, sources, DAILY_TABLES, load_id)
     history = snapshot_products(wh, as_of)
     load_replace(
@@ -117,7 +119,8 @@ def refresh_dimensions(
     load_replace(dim_calendar(date_spine(wh.spark, as_of)), wh.path("marts", "dim_calendar"))
     tables = wh.star()
     results = checks.run(star.dimension_checks(tables, as_of) + star.returns_checks(tables))
-    checks.gate(results)
+    if gated:
+        checks.gate(results)
     return results
 
 
@@ -152,6 +155,8 @@ def bootstrap(
     log: DataFrame,
     as_of: date,
     load_id: str,
+    *,
+    gated: bool = True,
 ) -> DataFrame:
     """The first load: note the log position, take the baseline, build everything.
 
@@ -166,7 +171,7 @@ def bootstrap(
     )
     lsn = cdc.cursor(read_loads(wh.spark, state), SALES_SOURCE)
     _load(wh, sources, ("sales",), load_id)
-    results = refresh_dimensions(wh, sources, as_of, load_id)
+    results = refresh_dimensions(wh, sources, as_of, load_id, gated=gated)
     wh.sales.replace(facts.sales_base(wh.staged("sales"), wh.mart("dim_products"), lsn))
     return results
 
@@ -202,10 +207,13 @@ def merge_changes(wh: Warehouse) -> StreamingQuery:
     return query
 
 
-def run_increment(wh: Warehouse, log: DataFrame, load_id: str) -> DataFrame:
+def run_increment(
+    wh: Warehouse, log: DataFrame, load_id: str, *, gated: bool = True
+) -> DataFrame:
     """The half-hourly job: extract, merge, check the fact and raise if a check fails."""
     extract_changes(wh, log, load_id)
     merge_changes(wh)
     results = checks.run(star.sales_checks(wh.star()))
-    checks.gate(results)
+    if gated:
+        checks.gate(results)
     return results

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from sparkmart.operators.joins import lookup_join
 from sparkmart.sources.files import exists
 
-AUDIT_SCHEMA = "load_id string, schema_name string, status string, schema_version_hash string"
+AUDIT_SCHEMA = "schema_name string, status string, schema_version_hash string, row_count bigint"
 
 
 def table_path(root: str, layer: str | None, name: str, default_layer: str = "main") -> str:
@@ -70,22 +70,12 @@ def schema_hash(schema: T.StructType) -> str:
     return hashlib.sha256(schema.json().encode()).hexdigest()
 
 
-def audit_row(
-    spark: SparkSession, load_id: str, schema_name: str, status: str, schema: T.StructType
-) -> DataFrame:
-    return spark.createDataFrame(
-        [(load_id, schema_name, status, schema_hash(schema))], AUDIT_SCHEMA
+def audit(path: str, load_id: str, schema_name: str, status: str, loaded: DataFrame) -> None:
+    """Append the audit row of a load; auditing the same load again replaces its row."""
+    row = loaded.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(schema_name).alias("schema_name"),
+        F.lit(status).alias("status"),
+        F.lit(schema_hash(loaded.schema)).alias("schema_version_hash"),
+        "row_count",
     )
-
-
-def audit(
-    spark: SparkSession,
-    path: str,
-    load_id: str,
-    schema_name: str,
-    status: str,
-    schema: T.StructType,
-) -> None:
-    """Append one audit row for a load; auditing the same load again replaces its row."""
-    row = audit_row(spark, load_id, schema_name, status, schema).drop("load_id")
     load_append(row, path, load_id)
