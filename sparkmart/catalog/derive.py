@@ -365,7 +365,10 @@ class Shop(Sources):
         """The baseline build, then one increment merged into it."""
         table = facts.sales_table(f"{self.root}/marts/fct_sales")
         table.replace(self.sales_base())
-        table.upsert(facts.sales_increment(self.increment(), self.dim_products))
+        increment = self.increment()
+        table.upsert(
+            facts.sales_increment(increment, self.dim_products), keys_from=increment
+        )
         return table.read(self.spark).drop("bucket")
 
     @cached_property

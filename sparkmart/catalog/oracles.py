@@ -424,10 +424,10 @@ def build() -> dict[str, str]:
         "strftime(ts, '%Y-%m-%d') AS archive, count(*) AS row_count FROM events GROUP BY ALL"
     )
     o["s9_load_audit"] = sql(
-        "SELECT 'day1-customers' AS load_id, 'customers' AS schema_name, 'loaded' AS status, "
+        "SELECT 'day1' AS load_id, 'customers' AS schema_name, 'loaded' AS status, "
         "count(*) AS row_count, 64 AS hash_length FROM staged_customers UNION ALL "
-        "SELECT 'day1-products', 'products', 'loaded', count(*), 64 FROM staged_products UNION ALL "
-        "SELECT 'day1-returns', 'returns', 'loaded', count(*), 64 FROM staged_returns"
+        "SELECT 'day1', 'products', 'loaded', count(*), 64 FROM staged_products UNION ALL "
+        "SELECT 'day1', 'returns', 'loaded', count(*), 64 FROM staged_returns"
     )
     o["s13_date_spine"] = rows("full_date:varchar", "spine")
     current = (

@@ -157,8 +157,7 @@ def _(s: Shop) -> DataFrame:
 def _(s: Shop) -> DataFrame:
     path = _scratch(s, "audit")
     tables = {"customers": s.customers(), "products": s.raw_products, "returns": s.raw_returns}
-    for name, table in tables.items():
-        loads.audit(path, f"day1-{name}", name, "loaded", table)
+    loads.audit(path, "day1", "loaded", tables)
     audited = loads.read_loads(s.spark, path)
     return audited.select(
         "load_id", "schema_name", "status", "row_count",
@@ -293,7 +292,8 @@ def _(s: Shop) -> DataFrame:
 def _merged(s: Shop, delete_mode: str) -> DataFrame:
     table = facts.sales_table(_scratch(s, "fct_sales"), delete_mode=delete_mode)
     table.replace(s.sales_base())
-    table.upsert(facts.sales_increment(s.increment(), s.dim_products))
+    increment = s.increment()
+    table.upsert(facts.sales_increment(increment, s.dim_products), keys_from=increment)
     return table.read(s.spark).drop("bucket")
 
 
@@ -604,7 +604,8 @@ def _(s: Shop) -> DataFrame:
     table = facts.sales_table(_scratch(s, "late"))
     slices = _log_slices(s)
     for part in (*reversed(slices), slices[-1]):
-        table.upsert(facts.sales_increment(staged("sales_log", part), s.dim_products))
+        events = staged("sales_log", part)
+        table.upsert(facts.sales_increment(events, s.dim_products), keys_from=events)
     return table.read(s.spark).drop("bucket")
 
 

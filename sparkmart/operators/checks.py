@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -164,20 +165,22 @@ def volume_anomaly(
 # Running checks.
 
 
-def _counts(checks: Sequence[Check]) -> DataFrame:
-    """Name and violations of each check; conditions on one table share a single pass."""
+def _violations(checks: Sequence[Check]) -> DataFrame:
+    """Rows of (name, failures) that add up to the violations of each check.
+
+    Conditions on one table are counted in a single pass over it.
+    """
     fused: dict[int, list[Check]] = {}
     parts: list[DataFrame] = []
     for check in checks:
         if check.condition is not None:
             fused.setdefault(id(check.table), []).append(check)
             continue
-        found = (
-            F.sum("violations") if "violations" in check.table.columns else F.count(F.lit(1))
-        )
+        counted = "violations" in check.table.columns
         parts.append(
-            check.table.agg(F.coalesce(found, F.lit(0)).cast("bigint").alias("failures")).select(
-                F.lit(check.name).alias("name"), "failures"
+            check.table.select(
+                F.lit(check.name).alias("name"),
+                (F.col("violations") if counted else F.lit(1)).cast("bigint").alias("failures"),
             )
         )
     for group in fused.values():
@@ -191,29 +194,42 @@ def _counts(checks: Sequence[Check]) -> DataFrame:
             ]
         )
         parts.append(row.select(F.inline(pairs)))
-    counts = parts[0]
-    for part in parts[1:]:
-        counts = counts.unionByName(part)
-    return counts
+    return reduce(DataFrame.unionByName, parts)
 
 
 def run(checks: Sequence[Check]) -> DataFrame:
-    """One row per check: name, severity, failures and status (pass, warn or fail)."""
+    """One row per check: name, severity, failures and status (pass, warn or fail).
+
+    All violations are added up by one aggregation, within each task first.
+    """
     if len({c.name for c in checks}) != len(checks):
         raise ValueError("check names must be unique")
-    severity = status = F
-    for c in checks:
-        error_at = c.error_if if c.error_if is not None else (
-            c.warn_if if c.severity == "error" else None
-        )
-        outcome = F.when(F.col("failures") > c.warn_if, F.lit("warn")).otherwise(F.lit("pass"))
-        if error_at is not None:
-            outcome = F.when(F.col("failures") > error_at, F.lit("fail")).otherwise(outcome)
-        severity = severity.when(F.col("name") == c.name, F.lit(c.severity))
-        status = status.when(F.col("name") == c.name, outcome)
-    return _counts(checks).select(
-        "name", severity.alias("severity"), "failures", status.alias("status")
+    never = 2**63 - 1
+    rules = checks[0].table.sparkSession.createDataFrame(
+        [
+            (
+                c.name,
+                c.severity,
+                c.warn_if,
+                c.error_if
+                if c.error_if is not None
+                else (c.warn_if if c.severity == "error" else never),
+            )
+            for c in checks
+        ],
+        "name string, severity string, warn_if bigint, error_if bigint",
+    )
+    counts = _violations(checks).groupBy("name").agg(F.sum("failures").alias("failures"))
+    # One row per rule on either side.
+    judged = rules.join(F.broadcast(counts), "name", "left").withColumn(
+        "failures", F.coalesce("failures", F.lit(0).cast("bigint"))
+    )
+    status = (
+        F.when(F.col("failures") > F.col("error_if"), "fail")
+        .when(F.col("failures") > F.col("warn_if"), "warn")
+        .otherwise("pass")
     )
+    return judged.select("name", "severity", "failures", status.alias("status"))
 
 
 class ChecksFailed(Exception):

@@ -18,8 +18,12 @@ ROWS_PER_TASK = 4_000_000
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, reading no further than needed."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows.
+
+    A count combines within each task and, over a stored table, reads no column at all; a
+    ``limit`` would move the rows themselves to a single task.
+    """
+    return df.count() <= max_rows
 
 
 def lookup_join(

@@ -91,10 +91,12 @@ class KeyedTable:
             .parquet(self.path)
         )
 
-    def upsert(self, events: DataFrame) -> None:
+    def upsert(self, events: DataFrame, keys_from: DataFrame | None = None) -> None:
         """Apply ``events``: final state per key, with position and ``is_deleted``.
 
         1. The touched buckets are found (at most as many numbers as there are buckets).
+           ``keys_from`` is a table with the same keys as ``events`` that is cheaper to
+           read, such as the log they were reduced from.
         2. Their rows and the events are brought together by one shuffle on the bucket; the
            newest row per key stays. The result is already laid out as it is written.
         3. It goes to a side folder, and only once that is complete to the table.
@@ -105,7 +107,8 @@ class KeyedTable:
         spark = events.sparkSession
         self.recover(spark)
         changes = events.select(*self.schema.names).withColumn(BUCKET, self.bucket)
-        touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]
+        keyed = events if keys_from is None else keys_from
+        touched = [r[0] for r in keyed.select(self.bucket.alias(BUCKET)).distinct().collect()]
         if not touched:
             return
         existing = self.read(spark).where(F.col(BUCKET).isin(touched))

@@ -67,10 +67,24 @@ class Warehouse:
         )
 
 
-def _load(wh: Warehouse, sources: Mapping[str, DataFrame], names: tuple[str, ...], load_id: str):
+def _load(
+    wh: Warehouse, sources: Mapping[str, DataFrame], names: tuple[str, ...], load_id: str
+) -> None:
     for name in names:
         load_replace(sources[name], wh.path("raw", name))
-        audit(wh.path("raw", "audit"), f"{load_id}-{name}", name, "loaded", wh.raw(name))
+    audit(wh.path("raw", "audit"), load_id, "loaded", {name: wh.raw(name) for name in names})
+
+
+def _run_checks(
+    wh: Warehouse, rules: list[checks.Check], load_id: str, gated: bool
+) -> DataFrame:
+    """Run the checks once, keep their results, and raise if one fails."""
+    path = wh.path("raw", "check_results")
+    load_append(checks.run(rules), path, load_id)
+    results = read_loads(wh.spark, path).where(F.col("load_id") == load_id).drop("load_id")
+    if gated:
+        checks.gate(results)
+    return results
 
 
 def snapshot_products(wh: Warehouse, as_of: date) -> DataFrame:
@@ -118,10 +132,8 @@ def refresh_dimensions(
     _complete_members(wh)
     load_replace(dim_calendar(date_spine(wh.spark, as_of)), wh.path("marts", "dim_calendar"))
     tables = wh.star()
-    results = checks.run(star.dimension_checks(tables, as_of) + star.returns_checks(tables))
-    if gated:
-        checks.gate(results)
-    return results
+    rules = star.dimension_checks(tables, as_of) + star.returns_checks(tables)
+    return _run_checks(wh, rules, load_id, gated)
 
 
 def _complete_members(wh: Warehouse) -> None:
@@ -170,7 +182,7 @@ def bootstrap(
         load_id,
     )
     lsn = cdc.cursor(read_loads(wh.spark, state), SALES_SOURCE)
-    _load(wh, sources, ("sales",), load_id)
+    _load(wh, sources, ("sales",), f"{load_id}-baseline")
     results = refresh_dimensions(wh, sources, as_of, load_id, gated=gated)
     wh.sales.replace(facts.sales_base(wh.staged("sales"), wh.mart("dim_products"), lsn))
     return results
@@ -213,7 +225,4 @@ def run_increment(
     """The half-hourly job: extract, merge, check the fact and raise if a check fails."""
     extract_changes(wh, log, load_id)
     merge_changes(wh)
-    results = checks.run(star.sales_checks(wh.star()))
-    if gated:
-        checks.gate(results)
-    return results
+    return _run_checks(wh, star.sales_checks(wh.star()), load_id, gated)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +13,6 @@ from pyspark.sql import types as T
 from sparkmart.operators.joins import lookup_join
 from sparkmart.sources.files import exists
 
-AUDIT_SCHEMA = "schema_name string, status string, schema_version_hash string, row_count bigint"
-
-
 def table_path(root: str, layer: str | None, name: str, default_layer: str = "main") -> str:
     """Where a table lives: the layer name is used as it is, trimmed, or the default one."""
     return f"{root.rstrip('/')}/{(layer or default_layer).strip()}/{name.lower()}"
@@ -70,12 +69,18 @@ def schema_hash(schema: T.StructType) -> str:
     return hashlib.sha256(schema.json().encode()).hexdigest()
 
 
-def audit(path: str, load_id: str, schema_name: str, status: str, loaded: DataFrame) -> None:
-    """Append the audit row of a load; auditing the same load again replaces its row."""
-    row = loaded.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(schema_name).alias("schema_name"),
-        F.lit(status).alias("status"),
-        F.lit(schema_hash(loaded.schema)).alias("schema_version_hash"),
-        "row_count",
-    )
-    load_append(row, path, load_id)
+def audit(path: str, load_id: str, status: str, loaded: Mapping[str, DataFrame]) -> None:
+    """Append one audit row per table of a load, with its row count and schema hash.
+
+    Auditing the same load again replaces its rows.
+    """
+    rows = [
+        table.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("schema_name"),
+            F.lit(status).alias("status"),
+            F.lit(schema_hash(table.schema)).alias("schema_version_hash"),
+            "row_count",
+        )
+        for name, table in loaded.items()
+    ]
+    load_append(reduce(DataFrame.unionByName, rows).coalesce(1), path, load_id)

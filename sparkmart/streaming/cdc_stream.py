@@ -46,8 +46,8 @@ def cdc_to_fact(
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        products = dim_products(batch.sparkSession)
-        table.upsert(sales_increment(staged("sales_log", batch), products))
+        events = staged("sales_log", batch)
+        table.upsert(sales_increment(events, dim_products(batch.sparkSession)), keys_from=events)
 
     return (
         log.writeStream.foreachBatch(merge)
