@@ -26,6 +26,7 @@ from sparkmart.operators.cdc import (
     read_since,
 )
 from sparkmart.operators.joins import lookup_join
+from sparkmart.operators.merge import KeyedTable
 from sparkmart.operators.staging import staged
 from sparkmart.plans import dims, facts
 from sparkmart.plans.calendar import dim_calendar, spine_over
@@ -360,11 +361,22 @@ class Shop(Sources):
             staged("sales", self.raw_sales), self.dim_products, self.checkpoint_lsn
         )
 
+    def sales_table(self, path: str, delete_mode: str = "soft") -> KeyedTable:
+        """A sales fact at ``path``, with files small enough to share out little data."""
+        share = self._log_rows // 64
+        return facts.sales_table(
+            path, rows_per_file=max(50_000, min(1_000_000, share)), delete_mode=delete_mode
+        )
+
+    @cached_property
+    def _log_rows(self) -> int:
+        return self.raw_log.count()
+
     @cached_property
     def fct_sales(self) -> DataFrame:
         """The baseline build, then one increment merged into it."""
-        table = facts.sales_table(f"{self.root}/marts/fct_sales")
-        table.replace(self.sales_base())
+        table = self.sales_table(f"{self.root}/marts/fct_sales")
+        table.replace(self.sales_base(), keys_from=self.raw_sales)
         increment = self.increment()
         table.upsert(
             facts.sales_increment(increment, self.dim_products), keys_from=increment

@@ -290,8 +290,8 @@ def _(s: Shop) -> DataFrame:
 
 
 def _merged(s: Shop, delete_mode: str) -> DataFrame:
-    table = facts.sales_table(_scratch(s, "fct_sales"), delete_mode=delete_mode)
-    table.replace(s.sales_base())
+    table = s.sales_table(_scratch(s, "fct_sales"), delete_mode)
+    table.replace(s.sales_base(), keys_from=s.raw_sales)
     increment = s.increment()
     table.upsert(facts.sales_increment(increment, s.dim_products), keys_from=increment)
     return table.read(s.spark).drop("bucket")
@@ -588,7 +588,7 @@ def _log_slices(s: Shop) -> list[DataFrame]:
 def _(s: Shop) -> DataFrame:
     """The log arrives in four parts, with a run of the stream after each two."""
     folder = _scratch(s, "stream")
-    table, slices = facts.sales_table(f"{folder}/fct_sales"), _log_slices(s)
+    table, slices = s.sales_table(f"{folder}/fct_sales"), _log_slices(s)
     dim_products = s.dim_products
     for first in (0, 2):
         for i in (first, first + 1):
@@ -601,7 +601,7 @@ def _(s: Shop) -> DataFrame:
 @query("t3_out_of_order_increments")
 def _(s: Shop) -> DataFrame:
     """Increments delivered newest first, the newest once more at the end."""
-    table = facts.sales_table(_scratch(s, "late"))
+    table = s.sales_table(_scratch(s, "late"))
     slices = _log_slices(s)
     for part in (*reversed(slices), slices[-1]):
         events = staged("sales_log", part)

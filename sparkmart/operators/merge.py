@@ -12,7 +12,7 @@ repeated or delivered out of order without changing the result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,27 +25,31 @@ from sparkmart.sources.files import exists, remove
 
 BUCKET = "bucket"
 
+#: Most tasks one rewrite is spread over.
+MOST_TASKS = 10_000
+
 
 def hash_bucket(keys: Sequence[str], buckets: int) -> Column:
     """Bucket by hash: even, but every increment touches every bucket."""
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("bigint")
 
 
-def number_range_bucket(text: str, width: int) -> Column:
+def number_range_bucket(text: str, width: int, spare: int = 1024) -> Column:
     """Bucket by ranges of the number at the end of a text key such as ``SO-17``.
 
-    Keys without a number share bucket -1.
+    Keys without a number are spread by hash over ``spare`` negative buckets.
     """
     number = F.regexp_extract(F.col(text), "([0-9]{1,18})$", 1).try_cast("bigint")
-    return F.coalesce(F.floor(number / width).cast("int"), F.lit(-1))
+    without = F.lit(-1) - F.pmod(F.xxhash64(text), F.lit(spare))
+    return F.coalesce(F.floor(number / F.lit(width)).cast("bigint"), without)
 
 
 @dataclass(frozen=True)
 class KeyedTable:
     """A keyed table at ``path``.
 
-    ``bucket`` must be an expression over the key columns. ``files_per_bucket`` splits the
-    work on one bucket over that many tasks.
+    ``bucket`` must be an expression over the key columns. A bucket is written by as many
+    tasks as its rows ask for, ``rows_per_file`` each, whatever its size.
     """
 
     path: str
@@ -53,7 +57,7 @@ class KeyedTable:
     keys: tuple[str, ...]
     bucket: Column
     order_cols: tuple[str, ...] = ("lsn", "seqval")
-    files_per_bucket: int = 1
+    rows_per_file: int = 1_000_000
     delete_mode: str = "soft"
 
     def __post_init__(self):
@@ -66,7 +70,7 @@ class KeyedTable:
 
     @property
     def _stored(self) -> T.StructType:
-        return T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        return T.StructType([*self.schema.fields, T.StructField(BUCKET, T.LongType())])
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The table, its bucket column included."""
@@ -74,16 +78,45 @@ class KeyedTable:
             return spark.createDataFrame([], self._stored)
         return spark.read.schema(self._stored).parquet(self.path)
 
-    def _clustered(self, df: DataFrame) -> DataFrame:
-        """Rows of one bucket in ``files_per_bucket`` tasks, each key in one of them."""
-        part = F.pmod(F.xxhash64(F.lit(1), *self.keys), F.lit(self.files_per_bucket))
-        return df.withColumn("_part", part).repartition(BUCKET, "_part")
+    def _bucketed(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*self.schema.names).withColumn(BUCKET, self.bucket)
+
+    def _sizes(self, keyed: DataFrame) -> dict[int, int]:
+        """Rows per bucket, one number for each: combined within the tasks first."""
+        counts = keyed.groupBy(self.bucket.alias(BUCKET)).agg(F.count(F.lit(1)))
+        return dict(tuple(r) for r in counts.collect())
+
+    def _clustered(self, df: DataFrame, sizes: Mapping[int, int]) -> DataFrame:
+        """Bring the rows of each bucket together in enough tasks, each key in one of them.
+
+        The number of tasks follows from the rows, not from the session's settings.
+        ``sizes`` holds one entry per bucket; only those that need several tasks are sent
+        along.
+        """
+        large = [
+            (b, -(-n // self.rows_per_file)) for b, n in sizes.items() if n > self.rows_per_file
+        ]
+        tasks = -(-sum(sizes.values()) // self.rows_per_file)
+        part = F.lit(0).cast("bigint")
+        if large:
+            parts = df.sparkSession.createDataFrame(large, f"{BUCKET} bigint, _parts bigint")
+            df = df.join(F.broadcast(parts), BUCKET, "left")
+            hashed = F.pmod(F.xxhash64(F.lit(1), *self.keys), F.col("_parts"))
+            part = F.coalesce(hashed, part)
+        return (
+            df.withColumn("_part", part)
+            .select(*[c for c in df.columns if c != "_parts"], "_part")
+            .repartition(max(1, min(tasks, MOST_TASKS)), BUCKET, "_part")
+        )
 
-    def replace(self, rows: DataFrame) -> None:
-        """Full refresh: the table afterwards holds exactly ``rows``, one per key."""
-        bucketed = rows.select(*self.schema.names).withColumn(BUCKET, self.bucket)
+    def replace(self, rows: DataFrame, keys_from: DataFrame | None = None) -> None:
+        """Full refresh: the table afterwards holds exactly ``rows``, one per key.
+
+        ``keys_from`` is as for ``upsert``.
+        """
+        sizes = self._sizes(rows if keys_from is None else keys_from)
         (
-            self._clustered(bucketed)
+            self._clustered(self._bucketed(rows), sizes)
             .drop("_part")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
@@ -94,11 +127,12 @@ class KeyedTable:
     def upsert(self, events: DataFrame, keys_from: DataFrame | None = None) -> None:
         """Apply ``events``: final state per key, with position and ``is_deleted``.
 
-        1. The touched buckets are found (at most as many numbers as there are buckets).
+        1. The touched buckets and their sizes are found: two numbers per bucket.
            ``keys_from`` is a table with the same keys as ``events`` that is cheaper to
            read, such as the log they were reduced from.
-        2. Their rows and the events are brought together by one shuffle on the bucket; the
-           newest row per key stays. The result is already laid out as it is written.
+        2. The rows of those buckets and the events are brought together by one shuffle on
+           the bucket; the newest row per key stays. The result is already laid out as it is
+           written.
         3. It goes to a side folder, and only once that is complete to the table.
 
         A crash in 2 leaves the table as it was. After a crash in 3 the side folder is
@@ -106,21 +140,23 @@ class KeyedTable:
         """
         spark = events.sparkSession
         self.recover(spark)
-        changes = events.select(*self.schema.names).withColumn(BUCKET, self.bucket)
-        keyed = events if keys_from is None else keys_from
-        touched = [r[0] for r in keyed.select(self.bucket.alias(BUCKET)).distinct().collect()]
-        if not touched:
+        sizes = self._sizes(events if keys_from is None else keys_from)
+        if not sizes:
             return
+        touched = list(sizes)
         existing = self.read(spark).where(F.col(BUCKET).isin(touched))
+        stored = existing.groupBy(BUCKET).agg(F.count(F.lit(1)))
+        for bucket, rows in stored.collect():
+            sizes[bucket] += rows
         both = existing.withColumn("_new", F.lit(0)).unionByName(
-            changes.withColumn("_new", F.lit(1))
+            self._bucketed(events).withColumn("_new", F.lit(1))
         )
         # On equal positions the stored row stays: the event has been applied before.
         newest = Window.partitionBy(BUCKET, "_part", *self.keys).orderBy(
             *[F.col(c).desc() for c in self.order_cols], F.col("_new")
         )
         merged = (
-            self._clustered(both)
+            self._clustered(both, sizes)
             .withColumn("_rank", F.row_number().over(newest))
             .where(F.col("_rank") == 1)
             .drop("_rank", "_part", "_new")

@@ -76,7 +76,10 @@ def sales_increment(staged_log: DataFrame, dim_products: DataFrame, **tuning: in
 
 
 def sales_table(
-    path: str, orders_per_bucket: int = 2_000_000, files_per_bucket: int = 8, **options: str
+    path: str,
+    orders_per_bucket: int = 2_000_000,
+    rows_per_file: int = 1_000_000,
+    delete_mode: str = "soft",
 ) -> KeyedTable:
     """The sales fact as a keyed table, bucketed by ranges of the order number.
 
@@ -87,8 +90,8 @@ def sales_table(
         T.StructType.fromDDL(SALES_SCHEMA),
         SALES_KEYS,
         number_range_bucket("order_number", orders_per_bucket),
-        files_per_bucket=files_per_bucket,
-        **options,
+        rows_per_file=rows_per_file,
+        delete_mode=delete_mode,
     )
 
 

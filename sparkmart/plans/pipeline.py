@@ -184,7 +184,10 @@ def bootstrap(
     lsn = cdc.cursor(read_loads(wh.spark, state), SALES_SOURCE)
     _load(wh, sources, ("sales",), f"{load_id}-baseline")
     results = refresh_dimensions(wh, sources, as_of, load_id, gated=gated)
-    wh.sales.replace(facts.sales_base(wh.staged("sales"), wh.mart("dim_products"), lsn))
+    baseline = wh.staged("sales")
+    wh.sales.replace(
+        facts.sales_base(baseline, wh.mart("dim_products"), lsn), keys_from=baseline
+    )
     return results
 
 
