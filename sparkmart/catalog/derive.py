@@ -363,13 +363,13 @@ class Shop(Sources):
 
     def sales_table(self, path: str, delete_mode: str = "soft") -> KeyedTable:
         """A sales fact at ``path``, with files small enough to share out little data."""
-        share = self._log_rows // 64
+        share = self.log_rows // 64
         return facts.sales_table(
             path, rows_per_file=max(50_000, min(1_000_000, share)), delete_mode=delete_mode
         )
 
     @cached_property
-    def _log_rows(self) -> int:
+    def log_rows(self) -> int:
         return self.raw_log.count()
 
     @cached_property

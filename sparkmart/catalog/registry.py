@@ -269,8 +269,8 @@ def _(s: Shop) -> DataFrame:
 
 @query("j1_asof_join_salted")
 def _(s: Shop) -> DataFrame:
-    """The way taken for large dimensions and hot products, forced."""
-    return _asof(s, broadcast_rows=0, rows_per_task=40)
+    """The way taken for large dimensions: shuffled, products above 1/2000 of the rows salted."""
+    return _asof(s, broadcast_rows=0, rows_per_task=max(1, s.log_rows // 2000))
 
 
 @query("j2_flatten_categories")
@@ -348,8 +348,8 @@ def _(s: Shop) -> DataFrame:
 
 @query("m4_scd2_events_split")
 def _(s: Shop) -> DataFrame:
-    """Every key treated as a hot one, its rows cut into stretches."""
-    return _event_history(s, rows_per_task=20)
+    """Users with more than 1/500 of the events cut into stretches."""
+    return _event_history(s, rows_per_task=max(1, s.table("events").count() // 500))
 
 
 @query("m5_inferred_members")

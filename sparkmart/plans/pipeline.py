@@ -12,6 +12,7 @@ from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart.operators import cdc, checks, quality, scd2
@@ -198,6 +199,8 @@ def extract_changes(wh: Warehouse, log: DataFrame, load_id: str) -> None:
     lsn = cdc.cursor(earlier, SALES_SOURCE)
     fresh = cdc.read_since(log, lsn, "_start_lsn")
     load_append(fresh, wh.path("raw", "sales_log"), load_id)
+    if not exists(wh.spark, wh.path("raw", "sales_log")):
+        return
     appended = read_loads(wh.spark, wh.path("raw", "sales_log"), log.schema).where(
         F.col("load_id") == load_id
     )
@@ -208,12 +211,13 @@ def extract_changes(wh: Warehouse, log: DataFrame, load_id: str) -> None:
     )
 
 
-def merge_changes(wh: Warehouse) -> StreamingQuery:
-    """Merge the appended log files that no earlier run has merged."""
+def merge_changes(wh: Warehouse, schema: T.StructType) -> StreamingQuery | None:
+    """Merge the appended log files, of the given raw schema, that no run has merged yet."""
     log_path = wh.path("raw", "sales_log")
-    stream = read_log_stream(wh.spark, log_path, wh.raw("sales_log").drop("load_id").schema)
+    if not exists(wh.spark, log_path):
+        return None
     query = cdc_to_fact(
-        stream,
+        read_log_stream(wh.spark, log_path, schema),
         lambda spark: spark.read.parquet(wh.path("marts", "dim_products")),
         wh.sales,
         wh.path("raw", "sales_log_checkpoint"),
@@ -227,5 +231,5 @@ def run_increment(
 ) -> DataFrame:
     """The half-hourly job: extract, merge, check the fact and raise if a check fails."""
     extract_changes(wh, log, load_id)
-    merge_changes(wh)
+    merge_changes(wh, log.schema)
     return _run_checks(wh, star.sales_checks(wh.star()), load_id, gated)

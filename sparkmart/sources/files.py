@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,59 +41,66 @@ def tables_in(spark: SparkSession, directory: str, suffix: str = ".csv") -> dict
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, date_columns: Collection[str] = ()
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    date_columns: Collection[str] = (),
 ) -> DataFrame:
     """A CSV file with header, columns lower-cased and stripped, dates coerced.
 
-    ``schema`` lists the columns in file order under their cleaned names. What does not
-    parse as a date becomes NULL; any other unreadable value fails the load.
+    ``schema`` lists the columns in file order; without one the types are inferred, which
+    reads the file once more. What does not parse as a date becomes NULL; any other value
+    at odds with the schema fails the load.
     """
     dates = {c.strip().lower() for c in date_columns}
-    as_read = T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if f.name.strip().lower() in dates else f.dataType)
-            for f in schema.fields
-        ]
-    )
-    raw = (
-        spark.read.schema(as_read)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    if schema is None:
+        raw = reader.option("inferSchema", True).csv(path)
+    else:
+        as_read = T.StructType(
+            [
+                T.StructField(f.name, T.StringType() if f.name.strip().lower() in dates else f.dataType)
+                for f in schema.fields
+            ]
+        )
+        raw = reader.schema(as_read).option("enforceSchema", True).csv(path)
     clean = raw.toDF(*[c.strip().lower() for c in raw.columns])
-    return clean.select(
-        *[
-            F.expr(f"cast(try_to_timestamp(`{c}`) as timestamp_ntz)").alias(c) if c in dates else F.col(c)
-            for c in clean.columns
-        ]
-    )
+
+    def coerced(f: T.StructField) -> Column:
+        if f.name not in dates:
+            return F.col(f"`{f.name}`")
+        text = F.col(f"`{f.name}`").cast("string")
+        return F.try_to_timestamp(text).cast("timestamp_ntz").alias(f.name)
+
+    return clean.select(*[coerced(f) for f in clean.schema.fields])
 
 
 def load_csv_dir(
     spark: SparkSession,
     directory: str,
     target: str,
-    schemas: Mapping[str, T.StructType],
+    schemas: Mapping[str, T.StructType] | None = None,
     date_columns: Collection[str] = (),
 ) -> DataFrame:
     """Load every CSV of ``directory`` into a parquet table of its name, replacing it.
 
-    Gives one row per table with its row count.
+    Tables without an entry in ``schemas`` have their types inferred. Gives one row per
+    table with its row count.
     """
-    reports = None
+    reports = []
     for name, path in tables_in(spark, directory).items():
-        schema = schemas[name]
         out = f"{target.rstrip('/')}/{name}"
-        read_csv(spark, path, schema, date_columns).write.mode("overwrite").parquet(out)
-        report = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
+        loaded = read_csv(spark, path, (schemas or {}).get(name), date_columns)
+        loaded.write.mode("overwrite").parquet(out)
+        reports.append(
+            spark.read.schema(loaded.schema)
+            .parquet(out)
+            .agg(F.count(F.lit(1)).alias("row_count"))
+            .select(F.lit(name).alias("table_name"), "row_count")
         )
-        reports = report if reports is None else reports.unionByName(report)
-    if reports is None:
+    if not reports:
         return spark.createDataFrame([], "table_name string, row_count bigint")
-    return reports
+    return reduce(DataFrame.unionByName, reports)
 
 
 def read_source(

@@ -78,6 +78,10 @@ def test_warehouse_life(spark, table):
         (3, "blank_name")
     ]
 
+    # Nothing new right after the first load.
+    pipeline.run_increment(wh, before, "inc-0")
+    assert facts_of(wh) == [("SO-1", 10, False, 1), ("SO-2", 20, False, 77)]
+
     # An event the baseline already holds is not read again; a new one is merged.
     after = before.unionByName(log(spark, [(1, 1, 11, 4, 3), (2, 2, 20, 1, 4), (3, 9, 5, 2, 5)]))
     for _ in range(2):  # the second time as a retry

@@ -33,6 +33,11 @@ def test_csv_directory(spark, tmp_path):
         (None,), (datetime(2020, 1, 1),), (datetime(2020, 1, 3, 10, 30),),
     ]
     assert rows(spark.read.parquet(f"{out}/territories")) == [(1, "Northwest"), (2, "North, East")]
+    # Types are inferred where no schema is given.
+    files.load_csv_dir(spark, str(source), out, {"calendar": schemas["calendar"]}, ["date"])
+    assert spark.read.parquet(f"{out}/territories").dtypes == [
+        ("sales_territory_key", "int"), ("region", "string"),
+    ]
     # Loading again replaces.
     files.load_csv_dir(spark, str(source), out, schemas, ["date"])
     assert spark.read.parquet(f"{out}/territories").count() == 2
