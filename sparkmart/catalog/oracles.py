@@ -425,7 +425,7 @@ def build() -> dict[str, str]:
     )
     o["s9_load_audit"] = sql(
         "SELECT 'day1' AS load_id, 'customers' AS schema_name, 'loaded' AS status, "
-        "count(*) AS row_count, 64 AS hash_length FROM staged_customers UNION ALL "
+        "count(*) AS row_count, 64::BIGINT AS hash_length FROM staged_customers UNION ALL "
         "SELECT 'day1', 'products', 'loaded', count(*), 64 FROM staged_products UNION ALL "
         "SELECT 'day1', 'returns', 'loaded', count(*), 64 FROM staged_returns"
     )
@@ -436,7 +436,7 @@ def build() -> dict[str, str]:
     )
     same_key = "o.order_number = n.order_number AND o.order_line_item = n.order_line_item"
     o["s14_snapshot_diff"] = sql(
-        f"""SELECT 1 AS op, o.* FROM staged_sales o ANTI JOIN {current} n ON {same_key}
+        f"""SELECT 1::BIGINT AS op, o.* FROM staged_sales o ANTI JOIN {current} n ON {same_key}
         UNION ALL SELECT 2, n.* FROM {current} n ANTI JOIN staged_sales o ON {same_key}
         UNION ALL SELECT 3, o.* FROM staged_sales o JOIN {current} n ON {same_key}
                   WHERE o IS DISTINCT FROM n
@@ -567,7 +567,7 @@ def build() -> dict[str, str]:
              SELECT product_key, valid_from_key, valid_to_key, lead(valid_from_key) OVER (
                       PARTITION BY product_key ORDER BY valid_from_key, valid_to_key NULLS LAST
                     ) AS next_valid_from
-             FROM (SELECT * REPLACE (CASE WHEN valid_to_key IS NOT NULL THEN 19980101 END AS valid_to_key)
+             FROM (SELECT * REPLACE (CASE WHEN valid_to_key IS NOT NULL THEN 19980101::BIGINT END AS valid_to_key)
                    FROM dim_products))
            WHERE next_valid_from < valid_to_key"""
     )

@@ -62,7 +62,9 @@ def salted_join(
 
     Counting the keys is a pre-aggregated pass over the key columns alone. The table of hot
     keys has at most ``rows(left) / rows_per_task`` rows, so it may be broadcast. Salts are
-    a hash of the row, hence the same when a lost task is run again.
+    a hash of the row, hence the same when a lost task is run again. Exact copies of a row
+    share a salt; should they alone fill a task, adaptive execution splits it by its inputs,
+    which a plain shuffle join such as this one allows.
     """
     hot = (
         left.groupBy(*on)
