@@ -38,8 +38,6 @@ LAST_BASELINE_DAY = date(1997, 12, 31)
 #: Days on which the product source was observed.
 OBSERVATIONS = (date(1995, 1, 1), date(1997, 7, 1), date(1999, 7, 1))
 
-TABLES = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
-
 
 def _hex10(number: Column) -> Column:
     return F.lower(F.lpad(F.hex(number), 10, "0"))
@@ -287,7 +285,7 @@ class Shop(Sources):
     @cached_property
     def raw_sales(self) -> DataFrame:
         """The baseline: the sales table as it stood at the end of the last baseline day."""
-        final = latest_state(self._baseline_log(), facts.SALES_KEYS)
+        final = latest_state(self.baseline_log(), facts.SALES_KEYS)
         columns = [c for c in self.raw_log.columns if not c.startswith("_")]
         keyed = final.where(~F.col("is_deleted"))
         return self._written("raw/sales", keyed.select(*columns))
@@ -302,7 +300,7 @@ class Shop(Sources):
         )
         return self._written("raw/returns", returned)
 
-    def _baseline_log(self) -> DataFrame:
+    def baseline_log(self) -> DataFrame:
         """Raw log rows of the baseline, under the names ``latest_state`` expects."""
         return self.raw_log.where(F.col("stock_date") <= F.lit(LAST_BASELINE_DAY)).withColumns(
             {"op": F.col("_operation"), "lsn": F.col("_start_lsn"), "seqval": F.col("_seqval")}
@@ -311,7 +309,7 @@ class Shop(Sources):
     @cached_property
     def checkpoint_lsn(self) -> str:
         """The log position at which the baseline was taken."""
-        return cursor(checkpoint(self._baseline_log(), "sales", "baseline"), "sales")
+        return cursor(checkpoint(self.baseline_log(), "sales", "baseline"), "sales")
 
     def increment(self) -> DataFrame:
         """Staged changes after the baseline."""

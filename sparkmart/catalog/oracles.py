@@ -285,6 +285,72 @@ def _priced(source: str) -> str:
     )
 
 
+def _check(name: str, failures: str, severity: str = "error", warn: int = 0, fail: int | None = 0) -> str:
+    """The outcome row of one check, given a query that counts its violations."""
+    status = f"WHEN f > {warn} THEN 'warn' ELSE 'pass' END"
+    if fail is not None:
+        status = f"WHEN f > {fail} THEN 'fail' {status}"
+    return (
+        f"SELECT '{name}' AS name, '{severity}' AS severity, CAST(f AS BIGINT) AS failures, "
+        f"CASE {status} AS status FROM ({failures}) AS counted(f)"
+    )
+
+
+def _staging_rows() -> str:
+    """One row per check of the staged tables."""
+    tables = {
+        "sales": ("staged_sales", "order_number order_line_item order_date_key product_key customer_key"),
+        "sales_log": ("latest", "order_number order_line_item op is_deleted"),
+        "customers": ("staged_customers", "customer_key"),
+        "territories": ("staged_territories", "sales_territory_key"),
+        "returns": ("staged_returns", "return_date_key product_key territory_key"),
+        "product_categories": ("categories", "product_category_key category_name"),
+        "product_subcategories": (
+            "subcategories", "product_subcategory_key subcategory_name product_category_key",
+        ),
+        "date_spine": ("dim_calendar", "full_date"),
+    }
+    unique = {
+        "customers": "customer_key",
+        "territories": "sales_territory_key",
+        "product_categories": "product_category_key category_name",
+        "product_subcategories": "product_subcategory_key",
+        "date_spine": "full_date",
+    }
+    parts = [
+        _check(f"staged_{name}.{c}.not_null", f"SELECT count(*) FROM {source} WHERE {c} IS NULL")
+        for name, (source, columns) in tables.items()
+        for c in columns.split()
+    ]
+    parts += [
+        _check(
+            f"staged_{name}.{c}.unique",
+            f"SELECT count(*) FROM (SELECT {c} FROM {tables[name][0]} GROUP BY {c} HAVING count(*) > 1)",
+        )
+        for name, columns in unique.items()
+        for c in columns.split()
+    ]
+    parts += [
+        _check(
+            "staged_products.product_key.not_null",
+            "SELECT count(*) FROM staged_products WHERE product_key IS NULL",
+            "warn", 0, None,
+        ),
+        _check(
+            "staged_sales_log.op.accepted_values",
+            "SELECT count(*) FROM latest WHERE op NOT IN (1, 2, 3, 4)",
+        ),
+        _check(
+            "staged_product_subcategories.product_category_key.relationship",
+            "SELECT count(*) FROM subcategories WHERE product_category_key NOT IN "
+            "(SELECT product_category_key FROM categories)",
+        ),
+        _check("staged_loads.load_id.not_null", "SELECT 0"),
+        _check("staged_loads.status.not_null", "SELECT 0"),
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
 def _check_rows() -> str:
     """One row per check of the star schema, spelled out check by check."""
     tables = {
@@ -298,16 +364,10 @@ def _check_rows() -> str:
     }
     shown = {"staged_returns": "fct_returns"}
     money = {"cost_cents": "product_cost", "price_cents": "product_price"}
-    parts = []
-
-    def add(name: str, failures: str, severity: str = "error", warn: int = 0, fail: int | None = 0):
-        status = f"CASE WHEN f > {warn} THEN 'warn' ELSE 'pass' END"
-        if fail is not None:
-            status = f"CASE WHEN f > {fail} THEN 'fail' WHEN f > {warn} THEN 'warn' ELSE 'pass' END"
-        parts.append(
-            f"SELECT '{name}' AS name, '{severity}' AS severity, CAST(f AS BIGINT) AS failures, "
-            f"{status} AS status FROM ({failures}) AS counted(f)"
-        )
+    parts: list[str] = []
+
+    def add(*check) -> None:
+        parts.append(_check(*check))
 
     for table, columns in tables.items():
         for c in columns.split():
@@ -327,7 +387,8 @@ def _check_rows() -> str:
             f"{table}.{column}.accepted_values",
             f"SELECT count(*) FROM {table} WHERE {column} NOT IN ({values})",
             severity,
-            fail=0 if severity == "error" else None,
+            0,
+            0 if severity == "error" else None,
         )
     for name, table, column in (
         ("dim_calendar.date_key.unique", "dim_calendar", "date_key"),
@@ -369,9 +430,10 @@ def _check_rows() -> str:
         "dim_customers.future_birth_date",
         "SELECT count(*) FROM dim_customers WHERE birth_date >= DATE '2001-08-02'",
         "warn",
-        fail=None,
+        0,
+        None,
     )
-    add("fct_returns.after_first_order", f"SELECT count(*) FROM ({_EARLY_RETURNS})", "warn", fail=50)
+    add("fct_returns.after_first_order", f"SELECT count(*) FROM ({_EARLY_RETURNS})", "warn", 0, 50)
     add(
         "fct_sales.fresh",
         "SELECT count(*) FROM (SELECT max(order_date_key) AS k FROM fct_sales) "
@@ -558,6 +620,7 @@ def build() -> dict[str, str]:
         + " UNION ALL SELECT 'product_size.accepted_values', count(*) FROM staged_products "
         "WHERE product_size NOT IN ('0', 'M', 'XL'))"
     )
+    o["q0_staging_checks"] = sql(_staging_rows())
     o["q0b_duplicates"] = (
         "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, count(*) AS occurrences FROM lineitem "
         "GROUP BY ALL HAVING count(*) > 1"

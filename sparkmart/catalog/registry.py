@@ -18,6 +18,7 @@ from sparkmart.functions.decode import product_size, size_type, style
 from sparkmart.functions.keys import UNKNOWN_KEY, date_key, version_id
 from sparkmart.operators import cdc, checks, scd2
 from sparkmart.operators.asof import asof_join
+from sparkmart.operators.joins import lookup_join
 from sparkmart.operators.merge import repair_keys
 from sparkmart.operators.staging import staged
 from sparkmart.plans import analytics, dims, facts, pipeline, star
@@ -385,12 +386,12 @@ def _(s: Shop) -> DataFrame:
     """Customers without a profile arrive after their sales have been loaded."""
     reference = F.concat(F.lit("C-"), F.col("customer_key").cast("string"))
     known = s.dim_customers.where(~F.col("is_inferred") & (F.col("customer_key") >= 0)).select(
-        F.col("customer_key").alias("_known")
+        "customer_key", F.col("customer_key").alias("_known")
     )
     sales = s.fct_sales.select("order_number", "order_line_item", "customer_key").withColumn(
         "customer_reference", F.when(F.col("customer_key") != UNKNOWN_KEY, reference)
     )
-    loaded = sales.join(known, F.col("customer_key") == F.col("_known"), "left").select(
+    loaded = lookup_join(sales, known, ["customer_key"]).select(
         "order_number",
         "order_line_item",
         "customer_reference",
@@ -463,6 +464,25 @@ def _(s: Shop) -> DataFrame:
     return checks.run(rules)
 
 
+@query("q0_staging_checks")
+def _(s: Shop) -> DataFrame:
+    audited = _scratch(s, "staging-audit")
+    loads.audit(audited, "day1", "loaded", {"customers": s.customers()})
+    tables = {
+        "sales": staged("sales", s.raw_sales),
+        "sales_log": cdc.latest_state(s.staged_log, facts.SALES_KEYS),
+        "customers": staged("customers", s.customers()),
+        "products": staged("products", s.raw_products),
+        "territories": staged("territories", s.territories()),
+        "returns": staged("returns", s.raw_returns),
+        "product_categories": staged("product_categories", s.raw_categories),
+        "product_subcategories": staged("product_subcategories", s.raw_subcategories),
+        "date_spine": s.dim_calendar.select("full_date"),
+        "loads": loads.read_loads(s.spark, audited),
+    }
+    return checks.run(star.staging_checks(tables))
+
+
 @query("q0b_duplicates")
 def _(s: Shop) -> DataFrame:
     return checks.duplicates(s.table("lineitem"), "l_orderkey", "l_linenumber")
@@ -632,7 +652,7 @@ def _(s: Shop) -> DataFrame:
 
     for day in OBSERVATIONS[:-1]:
         pipeline.refresh_dimensions(wh, sources(day), day, f"day-{day}", gated=False)
-    last, baseline = OBSERVATIONS[-1], s._baseline_log().select(*s.raw_log.columns)
+    last, baseline = OBSERVATIONS[-1], s.baseline_log().select(*s.raw_log.columns)
     pipeline.bootstrap(wh, sources(last), baseline, last, f"day-{last}", gated=False)
     pipeline.run_increment(wh, s.raw_log, "increment-1", gated=False)
     return wh.sales.read(s.spark).drop("bucket")

@@ -46,7 +46,7 @@ def number_range_bucket(text: str, width: int, spare: int = 1024) -> Column:
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """A keyed table at ``path``.
+    """A keyed table at ``path``, with one writer at a time.
 
     ``bucket`` must be an expression over the key columns. A bucket is written by as many
     tasks as its rows ask for, ``rows_per_file`` each, whatever its size.

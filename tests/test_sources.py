@@ -60,6 +60,15 @@ def test_read_source_with_schema(spark, table):
     assert rows(files.read_source(spark, "json", path, schema="id int")) == [(0,), (1,), (2,)]
 
 
+def test_read_source_passes_database_options_on(spark):
+    # There is no database here: what can be seen is that Spark looks for its driver.
+    with pytest.raises(Exception, match="No suitable driver"):
+        files.read_source(
+            spark, "jdbc", "dbo.sales", url="jdbc:none://nowhere", partition_column="order_line_item",
+            bounds=(1, 100), partitions=4,
+        )
+
+
 def test_replace(spark, table):
     path = table()
     loads.load_replace(spark.range(5), path)
