@@ -11,10 +11,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.session import materialise, workspace
+
 #: Most rows a broadcast side may have.
 BROADCAST_ROWS = 1_000_000
 #: Most rows of one key that a single task should be given.
 ROWS_PER_TASK = 4_000_000
+#: Rows a key of that size has in the sample that hot keys are looked for in.
+SAMPLE_ROWS = 1_000
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
@@ -49,6 +53,32 @@ def lookup_join(
     return salted_join(left, right, on, how, residual=residual, rows_per_task=rows_per_task)
 
 
+def sampled(df: DataFrame, rows_per_task: int) -> tuple[DataFrame, float]:
+    """A sample that holds about a thousand of every ``rows_per_task`` rows, and its fraction."""
+    fraction = min(1.0, SAMPLE_ROWS / rows_per_task)
+    return (df if fraction == 1.0 else df.sample(fraction, seed=1)), fraction
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame | None:
+    """Keys with more than ``rows_per_task`` rows and how many (``_n``); None if there are none.
+
+    They are found in a sample: a key that hot cannot hide in it, and an error only shifts
+    work between tasks. There are at most about ``rows / rows_per_task`` of them, so they
+    may be broadcast. They are written once, for every part of a plan that uses them to see
+    the same ones, also when a lost task is run again.
+    """
+    some, fraction = sampled(df.select(*keys), rows_per_task)
+    found = (
+        some.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > rows_per_task * fraction)
+        .withColumn("_n", F.ceil(F.col("_n") / F.lit(fraction)))
+    )
+    if found.isEmpty():
+        return None
+    return materialise(found.coalesce(1), workspace(df.sparkSession, "hot-keys"))
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -60,19 +90,17 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join that spreads each hot ``left`` key over as many tasks as it needs.
 
-    Counting the keys is a pre-aggregated pass over the key columns alone. The table of hot
-    keys has at most ``rows(left) / rows_per_task`` rows, so it may be broadcast. Salts are
-    a hash of the row, hence the same when a lost task is run again. Exact copies of a row
-    share a salt; should they alone fill a task, adaptive execution splits it by its inputs,
-    which a plain shuffle join such as this one allows.
+    Without hot keys it is a plain join. Salts are a hash of the row, hence the same when a
+    lost task is run again. Exact copies of a row share a salt; should they alone fill a
+    task, adaptive execution splits it by its inputs, which a plain shuffle join such as
+    this one allows.
     """
-    hot = (
-        left.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > rows_per_task)
-        .select(*on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts"))
+    hot = hot_keys(left, on, rows_per_task)
+    if hot is None:
+        return _equi_join(left, right, on, how, residual)
+    hot = F.broadcast(
+        hot.select(*on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts"))
     )
-    hot = F.broadcast(hot)
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     has_null_key = F.lit(False)
     for c in on:

@@ -1,10 +1,10 @@
 """Previous and next row of each key, without ever holding a hot key in one task.
 
-A plain ``lag``/``lead`` window sends all rows of a key to one task. Here the rows per key
-are counted first. If no key is too frequent the plain window is used. Otherwise each hot
-key is cut into stretches of its order by approximate quantiles; the window runs within
-stretches, and the edges between stretches, few by construction, are stitched afterwards.
-The result is exact either way: quantiles only decide where a key is cut.
+A plain ``lag``/``lead`` window sends all rows of a key to one task. Here hot keys are looked
+for first. If there are none the plain window is used. Otherwise each hot key is cut into
+stretches of its order by approximate quantiles; the window runs within stretches, and the
+edges between stretches, few by construction, are stitched afterwards. The result is exact
+either way: quantiles only decide where a key is cut.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.operators.joins import ROWS_PER_TASK
+from sparkmart.operators.joins import ROWS_PER_TASK, hot_keys, sampled
+from sparkmart.session import materialise, workspace
 
 #: Most stretches a single key is cut into; within the accuracy asked of the quantiles.
 MOST_PIECES = 2_000
@@ -33,34 +34,32 @@ class Stretches:
 def plan_stretches(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> Stretches:
-    """Count the rows per key and find boundaries for the keys above ``rows_per_task``.
+    """Find the keys above ``rows_per_task`` and boundaries that cut them into stretches.
 
-    The counting pass reads the key columns only and combines before its shuffle; one
-    number reaches the driver. A key gets boundaries in proportion to its own rows, so
-    there are at most ``rows / rows_per_task`` of them in all.
+    A key gets boundaries in proportion to its own rows, so there are at most about
+    ``rows / rows_per_task`` of them in all. They come from a sample and are written once:
+    quantiles may differ from run to run, and all parts of a plan must see the same ones.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    most = counts.agg(F.max("_n")).first()[0] or 0
-    if most <= rows_per_task:
+    hot = hot_keys(df, keys, rows_per_task)
+    if hot is None:
         return Stretches(tuple(keys), tuple(order), None)
-    pieces = min(-(-most // rows_per_task), MOST_PIECES)
+    most = hot.agg(F.max("_n")).first()[0]
+    pieces = max(2, min(-(-most // rows_per_task), MOST_PIECES))
     fractions = [i / pieces for i in range(1, pieces)]
-    hot = F.broadcast(counts.where(F.col("_n") > rows_per_task).select(*keys))
     every = F.greatest(F.lit(1), F.floor(F.lit(pieces * rows_per_task) / F.col("_n")))
+    some, _ = sampled(df.select(*keys, order[0]), rows_per_task)
     cuts = (
-        df.join(hot, list(keys), "left_semi")
-        .groupBy(*keys)
-        .agg(
-            F.percentile_approx(order[0], fractions, 10_000).alias("_all"),
-            F.count(F.lit(1)).alias("_n"),
-        )
-        .select(*keys, every.alias("_every"), "_all")
+        some.join(F.broadcast(hot), list(keys))
+        .groupBy(*keys, "_n")
+        .agg(F.percentile_approx(order[0], fractions, 10_000).alias("_all"))
+        .withColumn("_every", every)
         .select(
             *keys,
             F.filter("_all", lambda _, i: (i + 1) % F.col("_every") == 0).alias("_cuts"),
         )
     )
-    return Stretches(tuple(keys), tuple(order), cuts)
+    written = materialise(cuts, workspace(df.sparkSession, "stretches"))
+    return Stretches(tuple(keys), tuple(order), written)
 
 
 def with_neighbours(

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from sparkmart.operators.asof import asof_join
-from sparkmart.operators.joins import lookup_join, salted_join
+from sparkmart.operators.joins import hot_keys, lookup_join, salted_join
 from sparkmart.plans.facts import resolve, sales_base
 
 VERSIONS = "product_scd_key string, product_key bigint, valid_from_key int, valid_to_key int"
@@ -96,7 +96,7 @@ def test_small_side_is_broadcast_and_large_side_is_not(spark):
 
     assert "strategy=broadcast" in plan(lookup_join(left, right, ["k"]))
     beyond = plan(lookup_join(left, right, ["k"], broadcast_rows=5))
-    assert "_salt" in beyond
+    assert "strategy=broadcast" not in beyond
 
 
 SALE = (
@@ -130,3 +130,20 @@ def test_resolving_never_changes_the_number_of_rows(spark):
         VERSIONS,
     )
     assert resolve(sales, dim).count() == 28
+
+
+def test_hot_keys_are_found_in_a_sample(spark, monkeypatch):
+    monkeypatch.setattr("sparkmart.operators.joins.SAMPLE_ROWS", 100)
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 4 == 1, None).otherwise(F.col("id")).alias("k")
+    )
+    hot = {r["k"]: r["_n"] for r in hot_keys(df, ["k"], 2000).collect()}
+    assert hot.keys() == {7, None}
+    assert 15_000 < hot[7] < 25_000 and 7_000 < hot[None] < 13_000
+    assert hot_keys(df, ["k"], 40_000) is None
+
+
+def test_without_hot_keys_the_join_is_plain(spark):
+    left = spark.range(100).withColumnRenamed("id", "k")
+    joined = salted_join(left, left.withColumn("v", F.lit(1)), ["k"])
+    assert "_salt" not in joined._jdf.queryExecution().optimizedPlan().toString()
