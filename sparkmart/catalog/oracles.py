@@ -143,7 +143,7 @@ _CTE: dict[str, str] = {
                lower(c_mktsegment) AS occupation,
                CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_acctbal < 5000 THEN 'N' ELSE 'Y' END
                  AS home_owner
-        FROM customer WHERE c_acctbal >= 0""",
+        FROM customer""",
     "decoded_customers": """
         SELECT * EXCLUDE (home_owner) REPLACE (
                  CASE marital_status WHEN 'S' THEN 'Single' WHEN 'M' THEN 'Married'
@@ -151,27 +151,29 @@ _CTE: dict[str, str] = {
                  CASE gender WHEN 'M' THEN 'Male' WHEN 'F' THEN 'Female' ELSE 'N/A' END AS gender),
                coalesce(home_owner = 'Y', FALSE) AS is_home_owner
         FROM staged_customers""",
+    "arrived_customers": "SELECT * FROM decoded_customers WHERE yearly_income >= 0",
     "dim_customers": """
-        SELECT *, FALSE AS is_inferred FROM decoded_customers
+        SELECT *, FALSE AS is_inferred FROM arrived_customers
         UNION ALL
         SELECT DISTINCT customer_key, 'N/A', 'Pending', 'Pending', DATE '1900-01-01', 'N/A', 'N/A',
                'unknown@example.com', CAST(0 AS DECIMAL(18,2)), 0, 'N/A', 'N/A', FALSE, TRUE
         FROM sales_log
         WHERE customer_key IS NOT NULL
-          AND customer_key NOT IN (SELECT customer_key FROM staged_customers)
+          AND customer_key NOT IN (SELECT customer_key FROM arrived_customers)
         UNION ALL
         SELECT -1, 'N/A', 'Guest', 'Unknown', DATE '1900-01-01', 'N/A', 'N/A', 'guest@example.com',
                CAST(0 AS DECIMAL(18,2)), 0, 'N/A', 'N/A', FALSE, FALSE""",
     "staged_territories": """
         SELECT CAST(n_nationkey AS BIGINT) AS sales_territory_key, n_name AS region,
                r_name AS country, r_name AS continent
-        FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name <> 'MIDDLE EAST'""",
+        FROM nation JOIN region ON r_regionkey = n_regionkey""",
+    "arrived_territories": "SELECT * FROM staged_territories WHERE country <> 'MIDDLE EAST'",
     "dim_territories": """
         SELECT sales_territory_key AS territory_key, region, country, continent, FALSE AS is_inferred
-        FROM staged_territories
+        FROM arrived_territories
         UNION ALL
         SELECT DISTINCT territory_key, 'N/A', 'N/A', 'N/A', TRUE FROM sales_log
-        WHERE territory_key NOT IN (SELECT sales_territory_key FROM staged_territories)
+        WHERE territory_key NOT IN (SELECT sales_territory_key FROM arrived_territories)
         UNION ALL
         SELECT -1, 'N/A', 'N/A', 'N/A', FALSE""",
     "spine": """
@@ -463,9 +465,14 @@ def build() -> dict[str, str]:
     o: dict[str, str] = {}
 
     # Sources and loads.
-    o["s1_csv_directory_load"] = (
-        "SELECT 'customer' AS table_name, count(*) AS row_count FROM customer UNION ALL "
-        "SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'orders', count(*) FROM orders"
+    o["s1_csv_directory_load"] = " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {key}::BIGINT AS key, "
+        f"'a \"b\", ' || {text} || chr(10) || '-' AS text, count(*) OVER () AS row_count FROM {table}"
+        for table, key, text in (
+            ("customer", "c_custkey", "c_name"),
+            ("nation", "n_nationkey", "n_name"),
+            ("orders", "o_orderkey", "o_orderpriority"),
+        )
     )
     o["s2_date_coercion"] = (
         f"SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN {day('o_orderdate')} END AS order_day "
@@ -522,6 +529,14 @@ def build() -> dict[str, str]:
     o["p5_decode_customers"] = rows("customer_key marital_status gender is_home_owner", "decoded_customers")
     o["p6_p7_product_codes"] = rows("product_sku product_size product_size_type product_style", "product_codes")
     o["f1_date_key"] = f"SELECT o_orderkey, {day('o_orderdate')} AS order_day FROM orders"
+    o["f15_binary_position"] = (
+        "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, "
+        "lpad(lower(to_hex(l_orderkey)), 20, '0') AS position FROM lineitem"
+    )
+    o["t2_job_calendar"] = rows("full_date:varchar", "spine")
+    o["t2_job_customers"] = sql(
+        "SELECT customer_key, FALSE AS is_inferred FROM staged_customers UNION ALL SELECT -1, FALSE"
+    )
     o["f14_version_id"] = sql(
         "SELECT product_key, strftime(observed_on, '%Y-%m-%d') AS observed_on, "
         "md5(product_key || '~' || strftime(observed_on, '%Y-%m-%d')) AS version_key FROM observations"

@@ -74,9 +74,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFram
         .where(F.col("_n") > rows_per_task * fraction)
         .withColumn("_n", F.ceil(F.col("_n") / F.lit(fraction)))
     )
-    if found.isEmpty():
-        return None
-    return materialise(found.coalesce(1), workspace(df.sparkSession, "hot-keys"))
+    written = materialise(found, workspace(df.sparkSession, "hot-keys"))
+    return None if written.isEmpty() else written
 
 
 def salted_join(

@@ -8,6 +8,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def missing_keys(
+    dim: DataFrame, fact_keys: DataFrame, key: str, unknown_key: object
+) -> DataFrame:
+    """Each key of ``fact_keys`` once that ``dim`` lacks; NULL and the unknown key aside."""
+    return (
+        fact_keys.where(F.col(key).isNotNull() & (F.col(key) != F.lit(unknown_key)))
+        .select(F.col(key).cast(dim.schema[key].dataType).alias(key))
+        .distinct()
+        .join(dim.select(key), key, "left_anti")
+    )
+
+
+def pending(
+    dim: DataFrame, fact_keys: DataFrame, key: str, placeholder: Mapping[str, object], unknown_key: object
+) -> DataFrame:
+    """Placeholder rows, in the columns of ``dim``, for the keys it lacks.
+
+    Columns that ``placeholder`` does not name are NULL.
+    """
+    return missing_keys(dim, fact_keys, key, unknown_key).select(
+        *[
+            F.col(key) if f.name == key else F.lit(placeholder.get(f.name)).cast(f.dataType).alias(f.name)
+            for f in dim.schema.fields
+        ]
+    )
+
+
 def complete(
     dim: DataFrame,
     fact_keys: DataFrame,
@@ -30,12 +57,7 @@ def complete(
             if f.name != key
         ]
 
-    missing = (
-        fact_keys.where(F.col(key).isNotNull() & (F.col(key) != F.lit(unknown_key)))
-        .select(F.col(key).cast(dim.schema[key].dataType).alias(key))
-        .distinct()
-        .join(dim.select(key), key, "left_anti")
-    )
+    missing = missing_keys(dim, fact_keys, key, unknown_key)
     inferred = missing.select(
         key, F.lit(True).alias("is_inferred"), *row_of(placeholder)
     )

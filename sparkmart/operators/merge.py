@@ -25,9 +25,6 @@ from sparkmart.sources.files import exists, remove
 
 BUCKET = "bucket"
 
-#: Most tasks one rewrite is spread over.
-MOST_TASKS = 10_000
-
 
 def hash_bucket(keys: Sequence[str], buckets: int) -> Column:
     """Bucket by hash: even, but every increment touches every bucket."""
@@ -106,7 +103,7 @@ class KeyedTable:
         return (
             df.withColumn("_part", part)
             .select(*[c for c in df.columns if c != "_parts"], "_part")
-            .repartition(max(1, min(tasks, MOST_TASKS)), BUCKET, "_part")
+            .repartition(max(1, tasks), BUCKET, "_part")
         )
 
     def replace(self, rows: DataFrame, keys_from: DataFrame | None = None) -> None:
@@ -163,7 +160,12 @@ class KeyedTable:
         )
         if self.delete_mode == "hard":
             merged = merged.where(~F.col("is_deleted"))
-        merged.write.mode("overwrite").partitionBy(BUCKET).parquet(self._staged)
+        (
+            merged.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(BUCKET)
+            .parquet(self._staged)
+        )
         if self.delete_mode == "hard":
             # Publishing replaces buckets that have rows; one without any is dropped here.
             kept = {

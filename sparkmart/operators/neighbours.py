@@ -18,10 +18,6 @@ from pyspark.sql import functions as F
 from sparkmart.operators.joins import ROWS_PER_TASK, hot_keys, sampled
 from sparkmart.session import materialise, workspace
 
-#: Most stretches a single key is cut into; within the accuracy asked of the quantiles.
-MOST_PIECES = 2_000
-
-
 @dataclass(frozen=True)
 class Stretches:
     """How the rows of each key are cut: ``cuts`` holds the hot keys' boundaries, if any."""
@@ -44,14 +40,14 @@ def plan_stretches(
     if hot is None:
         return Stretches(tuple(keys), tuple(order), None)
     most = hot.agg(F.max("_n")).first()[0]
-    pieces = max(2, min(-(-most // rows_per_task), MOST_PIECES))
+    pieces = max(2, -(-most // rows_per_task))
     fractions = [i / pieces for i in range(1, pieces)]
     every = F.greatest(F.lit(1), F.floor(F.lit(pieces * rows_per_task) / F.col("_n")))
     some, _ = sampled(df.select(*keys, order[0]), rows_per_task)
     cuts = (
         some.join(F.broadcast(hot), list(keys))
         .groupBy(*keys, "_n")
-        .agg(F.percentile_approx(order[0], fractions, 10_000).alias("_all"))
+        .agg(F.percentile_approx(order[0], fractions, max(10_000, 5 * pieces)).alias("_all"))
         .withColumn("_every", every)
         .select(
             *keys,

@@ -10,16 +10,13 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.keys import date_key
 
-# The first day of the spine and the number of days it has at most.
+# Fixed value: the first day of a spine that no fact moves.
 SPINE_START = date(2000, 1, 1)
-SPINE_DAYS = 15_000
 
 
-def date_spine(
-    spark: SparkSession, end: date, start: date = SPINE_START, days: int = SPINE_DAYS
-) -> DataFrame:
-    """Consecutive days from ``start`` up to ``end``, at most ``days`` of them."""
-    count = max(0, min(days, (end - start).days + 1))
+def date_spine(spark: SparkSession, end: date, start: date = SPINE_START) -> DataFrame:
+    """Consecutive days from ``start`` up to ``end``."""
+    count = max(0, (end - start).days + 1)
     return spark.range(count).select(
         F.date_add(F.lit(start), F.col("id").cast("int")).alias("full_date")
     )

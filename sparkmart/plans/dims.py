@@ -20,7 +20,7 @@ from sparkmart.functions.decode import (
 from sparkmart.functions.keys import BEGINNING_OF_TIME, UNKNOWN_KEY, UNKNOWN_VERSION
 from sparkmart.operators import scd2
 from sparkmart.operators.joins import ROWS_PER_TASK, lookup_join
-from sparkmart.operators.members import complete
+from sparkmart.operators.members import complete, pending
 from sparkmart.operators.quality import Rule
 
 #: Columns whose change opens a new product version.
@@ -94,6 +94,46 @@ def territories(staged: DataFrame, fact_keys: DataFrame) -> DataFrame:
     )
 
 
+def pending_customers(
+    dim: DataFrame, fact_keys: DataFrame, email_domain: str = "example.com"
+) -> DataFrame:
+    """Rows to append to a finished customer dimension for new keys."""
+    blank = _blank_customer("Pending", "Pending", f"unknown@{email_domain}")
+    return pending(dim, fact_keys, "customer_key", {**blank, "is_inferred": True}, UNKNOWN_KEY)
+
+
+def pending_territories(dim: DataFrame, fact_keys: DataFrame) -> DataFrame:
+    """Rows to append to a finished territory dimension for new keys."""
+    blank = {**NO_TERRITORY, "is_inferred": True}
+    return pending(dim, fact_keys, "territory_key", blank, UNKNOWN_KEY)
+
+
+def pending_products(dim: DataFrame, fact_keys: DataFrame) -> DataFrame:
+    """Rows for products that only facts know, such as rejected ones.
+
+    They are valid on no day, so no sale is resolved to them.
+    """
+    rows = pending(
+        dim,
+        fact_keys,
+        "product_key",
+        {
+            "product_name": "Pending",
+            "product_size_type": "No Size",
+            "product_style": NOT_AVAILABLE,
+            "product_cost": 0,
+            "product_price": 0,
+            "updated_key": BEGINNING_OF_TIME,
+            "valid_from_key": BEGINNING_OF_TIME,
+            "valid_to_key": BEGINNING_OF_TIME,
+        },
+        UNKNOWN_KEY,
+    )
+    return rows.withColumn(
+        "product_scd_key", F.concat(F.lit("pending-"), F.col("product_key").cast("string"))
+    )
+
+
 def product_rules() -> list[Rule]:
     """Why a staged product is rejected, first match."""
     name, price, cost = F.col("product_name"), F.col("product_price"), F.col("product_cost")

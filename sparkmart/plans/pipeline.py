@@ -6,7 +6,7 @@ Layout below the root: ``raw/<table>``, ``raw/state``, ``raw/audit``,
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, time
 
@@ -19,7 +19,7 @@ from sparkmart.operators import cdc, checks, quality, scd2
 from sparkmart.operators.merge import KeyedTable
 from sparkmart.operators.staging import staged
 from sparkmart.plans import dims, facts, star
-from sparkmart.plans.calendar import date_spine, dim_calendar
+from sparkmart.plans.calendar import dim_calendar, key_to_date, spine_over
 from sparkmart.sources.files import children, exists
 from sparkmart.sources.loads import audit, load_append, load_replace, read_loads, table_path
 from sparkmart.streaming.cdc_stream import cdc_to_fact, read_log_stream
@@ -77,14 +77,18 @@ def _load(
 
 
 def _run_checks(
-    wh: Warehouse, rules: list[checks.Check], load_id: str, gated: bool
+    wh: Warehouse,
+    rules: list[checks.Check],
+    load_id: str,
+    gated: bool,
+    accepted: Collection[str],
 ) -> DataFrame:
     """Run the checks once, keep their results, and raise if one fails."""
     path = wh.path("raw", "check_results")
     load_append(checks.run(rules), path, load_id)
     results = read_loads(wh.spark, path).where(F.col("load_id") == load_id).drop("load_id")
     if gated:
-        checks.gate(results)
+        checks.gate(results, accepted)
     return results
 
 
@@ -118,32 +122,49 @@ def refresh_dimensions(
     load_id: str,
     *,
     gated: bool = True,
+    accepted: Collection[str] = (),
 ) -> DataFrame:
     """The daily job: replace the raw tables, extend the history, rebuild the dimensions and
-    the returns, run their checks and, if ``gated``, raise if one fails. Gives the results."""
+    the returns, run their checks and, if ``gated``, raise if one fails that is not among the
+    ``accepted`` names. Gives the results."""
     _load(wh, sources, DAILY_TABLES, load_id)
+    _build_dimensions(wh, as_of)
+    tables = wh.star()
+    rules = star.dimension_checks(tables, as_of) + star.returns_checks(tables)
+    return _run_checks(wh, rules, load_id, gated, accepted)
+
+
+def _build_dimensions(wh: Warehouse, as_of: date) -> None:
     history = snapshot_products(wh, as_of)
+    load_replace(facts.returns(wh.staged("returns")), wh.path("marts", "fct_returns"))
+    sales = wh.sales.read(wh.spark)
+    baseline = wh.staged("sales") if exists(wh.spark, wh.path("raw", "sales")) else sales
+    returned = wh.mart("fct_returns")
+    versions = dims.products(
+        history, wh.staged("product_subcategories"), wh.staged("product_categories")
+    )
+    sold = baseline.select("product_key").unionByName(sales.select("product_key"))
+    known = sold.unionByName(returned.select("product_key"))
     load_replace(
-        dims.products(
-            history, wh.staged("product_subcategories"), wh.staged("product_categories")
-        ),
+        versions.unionByName(dims.pending_products(versions, known)),
         wh.path("marts", "dim_products"),
     )
-    load_replace(facts.returns(wh.staged("returns")), wh.path("marts", "fct_returns"))
-    _complete_members(wh)
-    load_replace(dim_calendar(date_spine(wh.spark, as_of)), wh.path("marts", "dim_calendar"))
-    tables = wh.star()
-    rules = star.dimension_checks(tables, as_of) + star.returns_checks(tables)
-    return _run_checks(wh, rules, load_id, gated)
+    _complete_members(wh, baseline, sales)
+    days = [(wh.spark.range(1).select(F.lit(as_of).alias("day")), "day")]
+    days += [
+        (df.select(key_to_date(F.col(c)).alias("day")), "day")
+        for df, columns in (
+            (baseline, ("order_date_key", "stock_date_key")),
+            (sales, ("order_date_key", "stock_date_key")),
+            (returned, ("return_date_key",)),
+        )
+        for c in columns
+    ]
+    load_replace(dim_calendar(spine_over(days)), wh.path("marts", "dim_calendar"))
 
 
-def _complete_members(wh: Warehouse) -> None:
+def _complete_members(wh: Warehouse, baseline: DataFrame, sales: DataFrame) -> None:
     """Customers and territories, completed by the keys that sales and returns use."""
-    sales = wh.sales.read(wh.spark)
-    if exists(wh.spark, wh.path("raw", "sales")):
-        baseline = wh.staged("sales")
-    else:
-        baseline = sales
     load_replace(
         dims.customers(
             wh.staged("customers"),
@@ -170,11 +191,13 @@ def bootstrap(
     load_id: str,
     *,
     gated: bool = True,
+    accepted: Collection[str] = (),
 ) -> DataFrame:
     """The first load: note the log position, take the baseline, build everything.
 
     The position is taken before the baseline, so no change can fall between the two; the
-    baseline rows carry it, and the increments start after it.
+    baseline rows carry it, and the increments start after it. Checks run once everything is
+    built, so a failing one leaves tables to look at.
     """
     state = wh.path("raw", "state")
     load_append(
@@ -184,12 +207,19 @@ def bootstrap(
     )
     lsn = cdc.cursor(read_loads(wh.spark, state), SALES_SOURCE)
     _load(wh, sources, ("sales",), f"{load_id}-baseline")
-    results = refresh_dimensions(wh, sources, as_of, load_id, gated=gated)
+    _load(wh, sources, DAILY_TABLES, load_id)
+    _build_dimensions(wh, as_of)
     baseline = wh.staged("sales")
     wh.sales.replace(
         facts.sales_base(baseline, wh.mart("dim_products"), lsn), keys_from=baseline
     )
-    return results
+    tables = wh.star()
+    rules = (
+        star.dimension_checks(tables, as_of)
+        + star.returns_checks(tables)
+        + star.sales_checks(tables)
+    )
+    return _run_checks(wh, rules, load_id, gated, accepted)
 
 
 def extract_changes(wh: Warehouse, log: DataFrame, load_id: str) -> None:
@@ -226,10 +256,58 @@ def merge_changes(wh: Warehouse, schema: T.StructType) -> StreamingQuery | None:
     return query
 
 
+def extend_dimensions(wh: Warehouse, schema: T.StructType, load_id: str) -> None:
+    """Append the members and days that a load of changes brings and no dimension has yet.
+
+    Only the load's rows are read, each key once; running it again adds nothing.
+    """
+    path = wh.path("raw", "sales_log")
+    if not exists(wh.spark, path):
+        return
+    loaded = read_loads(wh.spark, path, schema).where(F.col("load_id") == load_id)
+    events = staged("sales_log", loaded.drop("load_id"))
+    days = [
+        (events.select(key_to_date(F.col(c)).alias("day")), "day")
+        for c in ("order_date_key", "stock_date_key")
+    ]
+    calendar = wh.mart("dim_calendar")
+    spine = spine_over([(calendar, "full_date"), *days])
+    additions = {
+        "dim_customers": dims.pending_customers(
+            wh.mart("dim_customers"), events.select("customer_key")
+        ),
+        "dim_territories": dims.pending_territories(
+            wh.mart("dim_territories"), events.select("territory_key")
+        ),
+        "dim_products": dims.pending_products(
+            wh.mart("dim_products"), events.select("product_key")
+        ),
+        "dim_calendar": dim_calendar(spine.join(calendar, "full_date", "left_anti")),
+    }
+    for name, rows in additions.items():
+        if not rows.isEmpty():
+            rows.write.mode("append").parquet(wh.path("marts", name))
+
+
 def run_increment(
-    wh: Warehouse, log: DataFrame, load_id: str, *, gated: bool = True
+    wh: Warehouse,
+    log: DataFrame,
+    load_id: str,
+    *,
+    as_of: date | None = None,
+    gated: bool = True,
+    accepted: Collection[str] = (),
 ) -> DataFrame:
-    """The half-hourly job: extract, merge, check the fact and raise if a check fails."""
+    """The half-hourly job: extract, merge, check the fact and raise if a check fails.
+
+    Members and days that the changes bring are added before the checks. With ``as_of`` the
+    freshness and the volume of that morning are checked as well.
+    """
     extract_changes(wh, log, load_id)
     merge_changes(wh, log.schema)
-    return _run_checks(wh, star.sales_checks(wh.star()), load_id, gated)
+    extend_dimensions(wh, log.schema, load_id)
+    tables = wh.star()
+    rules = [*star.sales_checks(tables), star.return_order_check(tables)]
+    if as_of is not None:
+        rules += star.volume_checks(tables, as_of)
+    return _run_checks(wh, rules, load_id, gated, accepted)

@@ -35,7 +35,8 @@ def workspace(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="sparkmart-")
     return f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:8]}"

@@ -45,26 +45,34 @@ def read_csv(
     path: str,
     schema: T.StructType | None = None,
     date_columns: Collection[str] = (),
+    *,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A CSV file with header, columns lower-cased and stripped, dates coerced.
 
-    ``schema`` lists the columns in file order; without one the types are inferred, which
+    Quotes inside a quoted value are doubled. ``multi_line`` allows line breaks in quoted
+    values, at the price of one task per file. Columns are taken by name: those of ``schema``, in
+    its order, and a missing one fails the load; without a schema the types are inferred, which
     reads the file once more. What does not parse as a date becomes NULL; any other value
     at odds with the schema fails the load.
     """
     dates = {c.strip().lower() for c in date_columns}
-    reader = spark.read.option("header", True).option("mode", "FAILFAST")
-    if schema is None:
-        raw = reader.option("inferSchema", True).csv(path)
-    else:
-        as_read = T.StructType(
-            [
-                T.StructField(f.name, T.StringType() if f.name.strip().lower() in dates else f.dataType)
-                for f in schema.fields
+    reader = spark.read.options(
+        header=True, mode="FAILFAST", quote='"', escape='"', multiLine=multi_line
+    )
+    raw = reader.option("inferSchema", schema is None).csv(path)
+    clean = raw.toDF(*[c.strip().lower() for c in raw.columns])
+    if schema is not None:
+        wanted = {f.name.strip().lower(): f.dataType for f in schema.fields}
+        missing = sorted(wanted.keys() - set(clean.columns))
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
+        clean = clean.select(
+            *[
+                F.col(f"`{name}`").cast("string" if name in dates else kind).alias(name)
+                for name, kind in wanted.items()
             ]
         )
-        raw = reader.schema(as_read).option("enforceSchema", True).csv(path)
-    clean = raw.toDF(*[c.strip().lower() for c in raw.columns])
 
     def coerced(f: T.StructField) -> Column:
         if f.name not in dates:
@@ -81,6 +89,8 @@ def load_csv_dir(
     target: str,
     schemas: Mapping[str, T.StructType] | None = None,
     date_columns: Collection[str] = (),
+    *,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Load every CSV of ``directory`` into a parquet table of its name, replacing it.
 
@@ -90,7 +100,7 @@ def load_csv_dir(
     reports = []
     for name, path in tables_in(spark, directory).items():
         out = f"{target.rstrip('/')}/{name}"
-        loaded = read_csv(spark, path, (schemas or {}).get(name), date_columns)
+        loaded = read_csv(spark, path, (schemas or {}).get(name), date_columns, multi_line=multi_line)
         loaded.write.mode("overwrite").parquet(out)
         reports.append(
             spark.read.schema(loaded.schema)

@@ -105,3 +105,12 @@ def test_freshness_uses_the_given_day(shop):
 def test_bucket_expression_uses_key_columns_only():
     table = facts.sales_table("/nowhere")
     assert isinstance(table, KeyedTable) and "order_number" in str(number_range_bucket("order_number", 5))
+
+
+def test_hot_keys_are_not_gathered_in_one_task(spark):
+    from sparkmart.operators.joins import hot_keys
+
+    df = spark.range(3000).selectExpr("if(id < 2000, 0, id) AS k")
+    found = hot_keys(df, ["k"], 1000)
+    assert [r["k"] for r in found.collect()] == [0]
+    assert hot_keys(df, ["k"], 100_000) is None

@@ -46,10 +46,20 @@ def test_csv_directory(spark, tmp_path):
 def test_csv_with_a_bad_number_fails(spark, tmp_path):
     write(tmp_path / "t.csv", "k\nx\n")
     schema = T.StructType([T.StructField("k", T.LongType())])
-    with pytest.raises(Exception, match="MALFORMED"):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         files.read_csv(spark, str(tmp_path / "t.csv"), schema).collect()
 
 
+def test_csv_by_name_with_standard_quoting(spark, tmp_path):
+    write(tmp_path / "t.csv", 'Name , K\n"a ""big"" one",1\n"a ""big"", one",2\n"two\nlines",3\n')
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("name", T.StringType())])
+    got = files.read_csv(spark, str(tmp_path / "t.csv"), schema, multi_line=True)
+    assert rows(got) == [(1, 'a "big" one'), (2, 'a "big", one'), (3, "two\nlines")]
+    other = T.StructType([T.StructField("other", T.StringType())])
+    with pytest.raises(ValueError, match="no column other"):
+        files.read_csv(spark, str(tmp_path / "t.csv"), other)
+
+
 def test_empty_directory(spark, tmp_path):
     assert rows(files.load_csv_dir(spark, str(tmp_path), str(tmp_path / "out"), {})) == []
 
