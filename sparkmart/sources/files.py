@@ -61,7 +61,7 @@ def read_csv(
         header=True, mode="FAILFAST", quote='"', escape='"', multiLine=multi_line
     )
     raw = reader.option("inferSchema", schema is None).csv(path)
-    clean = raw.toDF(*[c.strip().lower() for c in raw.columns])
+    clean = raw.toDF(*[c.strip().strip('"').strip().lower() for c in raw.columns])
     if schema is not None:
         wanted = {f.name.strip().lower(): f.dataType for f in schema.fields}
         missing = sorted(wanted.keys() - set(clean.columns))
