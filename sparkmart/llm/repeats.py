@@ -23,20 +23,12 @@ from . import text as tx
 CHUNK = 3_000_000
 SHARDS_PER_PARTITION = 4
 
-FLAGS = "shard int, doc_id long, crc long, found binary, entries binary"
-_SCHEMA = pa.schema(
-    [
-        ("shard", pa.int32()),
-        ("doc_id", pa.int64()),
-        ("crc", pa.int64()),
-        ("found", pa.binary()),
-        ("entries", pa.binary()),
-    ]
-)
+FLAGS = "shard int, found binary, entries binary"
+_SCHEMA = pa.schema([("shard", pa.int32()), ("found", pa.binary()), ("entries", pa.binary())])
 
 
 def flag_rows(doc_id, crc, position, shards: int) -> Iterator[tuple]:
-    """One row per document: its positions as packed runs."""
+    """Repeated positions as runs, one packed row per shard of documents."""
     order = np.lexsort((position, crc, doc_id))
     doc_id, crc = doc_id[order], crc[order]
     position = position[order].astype(np.int64)
@@ -48,24 +40,25 @@ def flag_rows(doc_id, crc, position, shards: int) -> Iterator[tuple]:
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(position)) - 1
     count = position[last] - position[first] + 1
-    yield from flag_runs(doc_id[first], crc[first], position[first], count, shards, True)
+    yield from flag_runs(doc_id[first], crc[first], position[first], count, shards)
 
 
-def flag_runs(doc_id, crc, start, count, shards: int, grouped: bool = False) -> Iterator[tuple]:
-    """One row per document: its runs (start, count) packed."""
+def flag_runs(doc_id, crc, start, count, shards: int) -> Iterator[tuple]:
+    """Runs (start, count), one packed row per shard of documents.
+
+    Rows are as many as tasks times shards, however many documents have a run in each task.
+    """
     if not len(doc_id):
         return
-    if not grouped:
-        order = np.lexsort((crc, doc_id))
-        doc_id, crc, start, count = doc_id[order], crc[order], start[order], count[order]
-    found = np.stack([start, count], axis=1).astype(np.int32)
-    new = np.flatnonzero((np.diff(doc_id) != 0) | (np.diff(crc) != 0)) + 1
-    bounds = [0, *new.tolist(), len(doc_id)]
-    heads = np.concatenate([[0], new])
-    for low, high, d, c in zip(
-        bounds[:-1], bounds[1:], doc_id[heads].tolist(), crc[heads].tolist(), strict=True
-    ):
-        yield c % shards, d, c, found[low:high].tobytes(), None
+    mixed = tx.mix(doc_id.astype(np.uint64) ^ (crc.astype(np.uint64) << np.uint64(32)))
+    shard = shard_of(mixed, shards)
+    order = np.argsort(shard, kind="stable")
+    columns = [np.asarray(c, np.int64)[order] for c in (doc_id, crc, start, count)]
+    shard = shard[order]
+    new = np.flatnonzero(np.diff(shard)) + 1
+    bounds = [0, *new.tolist(), len(shard)]
+    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+        yield int(shard[low]), tx.pack(*(c[low:high] for c in columns)), None
 
 
 def flag_table(rows: list[tuple]) -> pa.RecordBatch:
@@ -74,7 +67,7 @@ def flag_table(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=_SCHEMA)
 
 
-def flag_batches(rows: Iterable[tuple], size: int = 2_000) -> Iterator[pa.RecordBatch]:
+def flag_batches(rows: Iterable[tuple], size: int = 64) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     for row in rows:
         held.append(row)
@@ -120,24 +113,22 @@ def _chunks(batches, hashed: Callable):
         yield [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
-def _deal(shards: int, hashed: Callable, earlier: bool):
+def _deal(shards: int, homes: int, hashed: Callable, earlier: bool):
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for hashes, doc_id, crc, position in _chunks(batches, hashed):
             repeat, settled = _settle(hashes, doc_id, earlier)
-            yield from flag_batches(
-                flag_rows(doc_id[repeat], crc[repeat], position[repeat], shards)
-            )
+            yield from flag_batches(flag_rows(doc_id[repeat], crc[repeat], position[repeat], homes))
             keep = np.flatnonzero(~settled)
             shard = shard_of(hashes[keep], shards)
             by = np.argsort(shard, kind="stable")  # within a shard in document order
             keep, shard = keep[by], shard[by]
             bounds = np.searchsorted(shard, np.arange(shards + 1))
             rows = (
-                (s, None, None, None, _pack_entries(hashes[k], doc_id[k], crc[k], position[k]))
+                (s, None, _pack_entries(hashes[k], doc_id[k], crc[k], position[k]))
                 for s in range(shards)
                 if len(k := keep[bounds[s] : bounds[s + 1]])
             )
-            yield from flag_batches(rows, 64)
+            yield from flag_batches(rows)
 
     return deal
 
@@ -177,7 +168,7 @@ def _unpack_entries(blob: bytes):
     )
 
 
-def _judge(shards: int, earlier: bool):
+def _judge(homes: int, earlier: bool):
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
         flagged, count = [], 0
@@ -189,14 +180,14 @@ def _judge(shards: int, earlier: bool):
 
         def flush():
             columns = [np.concatenate(c) for c in zip(*flagged, strict=True)]
-            yield from flag_batches(flag_rows(*columns, shards))
+            yield from flag_batches(flag_rows(*columns, homes))
 
         for batch in batches:
-            for shard, doc_id, crc, found, entries in zip(
-                *(batch.column(i).to_pylist() for i in range(5)), strict=True
+            for shard, found, entries in zip(
+                *(batch.column(i).to_pylist() for i in range(3)), strict=True
             ):
                 if entries is None:
-                    yield flag_table([(shard, doc_id, crc, found, None)])
+                    yield flag_table([(shard, found, None)])
                     continue
                 if shard != current and held:
                     flagged.append(settle())
@@ -219,38 +210,69 @@ def repeated_positions(docs: DataFrame, hashed: Callable, earlier: bool) -> Data
     """``doc_id``, ``crc`` (of the text) and packed runs ``found`` of repeated positions.
 
     ``hashed`` maps a column of texts to hash, row and position arrays. ``earlier``: only
-    what also is in a document of smaller ``doc_id`` repeats; else whatever is found twice. A
-    document may have several rows. Rows of ``docs`` with a null id or text take no part.
+    what also is in a document of smaller ``doc_id`` repeats; else whatever is found twice.
+    Rows of ``docs`` with a null id or text take no part.
     """
     n = tx.partitions(docs.sparkSession)
     shards = n * SHARDS_PER_PARTITION
     dealt = keyed(docs).where("doc_id is not null and text is not null")
+    judged = (
+        dealt.mapInArrow(_deal(shards, n, hashed, earlier), FLAGS)
+        .repartition(n, "shard")
+        .sortWithinPartitions("shard")
+        .mapInArrow(_judge(n, earlier), FLAGS)
+    )
+    return gathered(judged, n)
+
+
+def gathered(flags: DataFrame, n: int) -> DataFrame:
+    """``doc_id``, ``crc`` and packed runs ``found``: one row per document that has any."""
     return (
-        dealt.mapInArrow(_deal(shards, hashed, earlier), FLAGS)
+        flags.select("shard", "found")
         .repartition(n, "shard")
         .sortWithinPartitions("shard")
-        .mapInArrow(_judge(shards, earlier), FLAGS)
-        .select("doc_id", "crc", "found")
+        .mapInArrow(_gather, "doc_id long, crc long, found binary")
     )
 
 
+def _gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    current, held = None, []
+
+    def settle():
+        doc_id, crc, start, count = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.lexsort((crc, doc_id))
+        doc_id, crc = doc_id[order], crc[order]
+        found = np.stack([start[order], count[order]], axis=1).astype(np.int32)
+        new = np.flatnonzero((np.diff(doc_id) != 0) | (np.diff(crc) != 0)) + 1
+        first = np.concatenate([[0], new])
+        bounds = [*first.tolist(), len(doc_id)]
+        packed = [found[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(doc_id[first]), pa.array(crc[first]), pa.array(packed, pa.binary())],
+            names=["doc_id", "crc", "found"],
+        )
+
+    for batch in batches:
+        for shard, found in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
+            if shard != current and held:
+                yield from settle()
+                held.clear()
+            current = shard
+            held.append(tx.unpack(found))
+    if held:
+        yield from settle()
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``crc`` and ``text``: the crc keeps rows of one id with two texts apart."""
     return docs.select(F.col("doc_id").cast("long"), F.crc32("text").alias("crc"), "text")
 
 
-def with_found(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Every row of ``docs`` as (doc_id, text, found): all packed runs of its text."""
-    runs = found.groupBy("doc_id", "crc").agg(F.collect_list("found").alias("found"))
-    return keyed(docs).join(runs, ["doc_id", "crc"], "left").select("doc_id", "text", "found")
+def with_found(docs: DataFrame, found: DataFrame, how: str = "left") -> DataFrame:
+    """Rows of ``docs`` as (doc_id, crc, text, found): the packed runs of each text."""
+    return keyed(docs).join(found, ["doc_id", "crc"], how).select("doc_id", "crc", "text", "found")
 
 
-def unpack_runs(found: list[bytes]) -> np.ndarray:
+def unpack_runs(found: bytes) -> np.ndarray:
     """Rows (start, length) of the packed runs."""
-    return np.concatenate([np.frombuffer(f, np.int32).reshape(-1, 2) for f in found])
-
-
-def with_keys_found(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that have runs, as (doc_id, crc, text, found)."""
-    runs = found.groupBy("doc_id", "crc").agg(F.collect_list("found").alias("found"))
-    return keyed(docs).join(runs, ["doc_id", "crc"])
+    return np.frombuffer(found, np.int32).reshape(-1, 2)

@@ -45,12 +45,12 @@ def _removal(length: int):
     )
 
     def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in tx.pieces(batches, 1):
+        for piece in tx.pieces(batches, 2):
             out = []
             for doc_id, text, found in zip(
                 piece.column(0).to_pylist(),
-                piece.column(1).to_pylist(),
                 piece.column(2).to_pylist(),
+                piece.column(3).to_pylist(),
                 strict=True,
             ):
                 kept = all_words = (text or "").encode().split()

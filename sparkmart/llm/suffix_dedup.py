@@ -122,7 +122,7 @@ class _Entries:
         self.right.append(right)
 
 
-def _surround(length: int, shards: int):
+def _surround(length: int, shards: int, homes: int):
     """Runs of the surroundings of repeated anchors, per shard of their hash."""
 
     def runs(entries: _Entries):
@@ -145,14 +145,14 @@ def _surround(length: int, shards: int):
             left = np.array([len(entries.left[i]) for i in twice])
             count = left + [len(entries.right[i]) - length + 1 for i in twice]
             yield from repeats.flag_batches(
-                repeats.flag_runs(doc_id, crc, place - left, count, shards)
+                repeats.flag_runs(doc_id, crc, place - left, count, homes)
             )
         shard = repeats.shard_of(np.array(entries.hashes, np.uint64)[keep], shards)
         held: dict[int, list[int]] = {}
         for i, s in zip(keep, shard.tolist(), strict=True):
             held.setdefault(s, []).append(i)
-        rows = ((s, None, None, None, _pack(entries, own)) for s, own in sorted(held.items()))
-        yield from repeats.flag_batches(rows, 64)
+        rows = ((s, None, _pack(entries, own)) for s, own in sorted(held.items()))
+        yield from repeats.flag_batches(rows)
 
     def surround(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, size = _Entries(), 0
@@ -270,20 +270,25 @@ def _repeated_windows(blobs: list[bytes], length: int):
     return doc_id[entry], crc[entry], np.concatenate(start)
 
 
-def _merge(length: int, shards: int):
+def _merge(length: int, homes: int):
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held = None, []
+        current, held, flagged = None, [], []
 
         def settle():
-            yield from repeats.flag_batches(
-                repeats.flag_rows(*_repeated_windows(held, length), shards)
-            )
+            flagged.append(_repeated_windows(held, length))
+            if sum(len(f[0]) for f in flagged) >= repeats.CHUNK:
+                yield from flush()
+
+        def flush():
+            columns = [np.concatenate(c) for c in zip(*flagged, strict=True)]
+            yield from repeats.flag_batches(repeats.flag_rows(*columns, homes))
+            flagged.clear()
 
         for batch in batches:
             for i in range(batch.num_rows):
-                shard, doc_id, crc, found, entries = (batch.column(c)[i].as_py() for c in range(5))
+                shard, found, entries = (batch.column(c)[i].as_py() for c in range(3))
                 if entries is None:
-                    yield repeats.flag_table([(shard, doc_id, crc, found, None)])
+                    yield repeats.flag_table([(shard, found, None)])
                     continue
                 if shard != current and held:
                     yield from settle()
@@ -292,6 +297,8 @@ def _merge(length: int, shards: int):
                 held.append(entries)
         if held:
             yield from settle()
+        if flagged:
+            yield from flush()
 
     return merge
 
@@ -300,11 +307,11 @@ def _removal(length: int):
     names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
 
     def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in tx.pieces(batches, 1):
-            data, offsets = tx.text_bytes(piece.column(1))
+        for piece in tx.pieces(batches, 2):
+            data, offsets = tx.text_bytes(piece.column(2))
             bounds = offsets.tolist()
             sizes, gone_sizes, spans, digests, kepts = [], [], [], [], []
-            for i, found in enumerate(piece.column(2).to_pylist()):
+            for i, found in enumerate(piece.column(3).to_pylist()):
                 own = data[bounds[i] : bounds[i + 1]]
                 sizes.append(len(own))
                 removed = n_spans = 0
@@ -342,15 +349,14 @@ def remove_repeats(docs: DataFrame, length: int = 400, with_text: bool = True) -
     n = tx.partitions(docs.sparkSession)
     shards = n * repeats.SHARDS_PER_PARTITION
     anchors = repeats.repeated_positions(docs, _anchor_hashes(length), earlier=False)
-    anchored = repeats.with_keys_found(docs, anchors)
-    found = (
-        anchored.mapInArrow(_surround(length, shards), repeats.FLAGS)
+    merged = (
+        repeats.with_found(docs, anchors, "inner")
+        .mapInArrow(_surround(length, shards, n), repeats.FLAGS)
         .repartition(n, "shard")
         .sortWithinPartitions("shard")
-        .mapInArrow(_merge(length, shards), repeats.FLAGS)
-        .select("doc_id", "crc", "found")
+        .mapInArrow(_merge(length, n), repeats.FLAGS)
     )
-    out = repeats.with_found(docs, found).mapInArrow(
+    out = repeats.with_found(docs, repeats.gathered(merged, n)).mapInArrow(
         _removal(length),
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
     )
