@@ -7,7 +7,8 @@ key: then an increment touches few buckets however large the table has become.
 
 Rows carry the position of the event they came from. An event is applied only if it is
 newer than the row it meets, and deletes stay as marked rows, so increments may be cut,
-repeated or delivered out of order without changing the result.
+repeated or delivered out of order without changing the result. With hard deletes a marked
+row keeps its key and position alone, and no reader sees it.
 """
 
 from __future__ import annotations
@@ -31,14 +32,19 @@ def hash_bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("bigint")
 
 
-def number_range_bucket(text: str, width: int, spare: int = 1024) -> Column:
+def number_range_bucket(
+    text: str, width: int, spare: int = 1024, buckets: int = 16_384
+) -> Column:
     """Bucket by ranges of the number at the end of a text key such as ``SO-17``.
 
-    Keys without a number are spread by hash over ``spare`` negative buckets.
+    Ranges of ``width`` numbers go round a ring of ``buckets``, so there are never more,
+    however far apart the numbers lie. Keys without a number are spread by hash over
+    ``spare`` negative buckets.
     """
     number = F.regexp_extract(F.col(text), "([0-9]{1,18})$", 1).try_cast("bigint")
     without = F.lit(-1) - F.pmod(F.xxhash64(text), F.lit(spare))
-    return F.coalesce(F.floor(number / F.lit(width)).cast("bigint"), without)
+    ranged = F.floor(number / F.lit(width)).cast("bigint")
+    return F.coalesce(F.pmod(ranged, F.lit(buckets)), without)
 
 
 @dataclass(frozen=True)
@@ -69,14 +75,29 @@ class KeyedTable:
     def _stored(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField(BUCKET, T.LongType())])
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The table, its bucket column included."""
+    def _rows(self, spark: SparkSession) -> DataFrame:
         if not exists(spark, self.path):
             return spark.createDataFrame([], self._stored)
         return spark.read.schema(self._stored).parquet(self.path)
 
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The table, its bucket column included."""
+        rows = self._rows(spark)
+        return rows.where(~self._gone) if self.delete_mode == "hard" else rows
+
+    @property
+    def _gone(self) -> Column:
+        return F.coalesce("is_deleted", F.lit(False))
+
     def _bucketed(self, rows: DataFrame) -> DataFrame:
-        return rows.select(*self.schema.names).withColumn(BUCKET, self.bucket)
+        stays = {*self.keys, *self.order_cols, "is_deleted"}
+        columns = [
+            F.when(~self._gone, F.col(c)).alias(c)
+            if self.delete_mode == "hard" and c not in stays
+            else F.col(c)
+            for c in self.schema.names
+        ]
+        return rows.select(*columns).withColumn(BUCKET, self.bucket)
 
     def _sizes(self, keyed: DataFrame) -> dict[int, int]:
         """Rows per bucket, one number for each: combined within the tasks first."""
@@ -121,9 +142,14 @@ class KeyedTable:
             .parquet(self.path)
         )
 
-    def upsert(self, events: DataFrame, keys_from: DataFrame | None = None) -> None:
+    def upsert(
+        self, events: DataFrame, keys_from: DataFrame | None = None, *, corrects: bool = False
+    ) -> None:
         """Apply ``events``: final state per key, with position and ``is_deleted``.
 
+        Where an event meets a row of its own position the row stays, unless the events are
+        rows of this table put right (``corrects``).
+
         1. The touched buckets and their sizes are found: two numbers per bucket.
            ``keys_from`` is a table with the same keys as ``events`` that is cheaper to
            read, such as the log they were reduced from.
@@ -141,16 +167,17 @@ class KeyedTable:
         if not sizes:
             return
         touched = list(sizes)
-        existing = self.read(spark).where(F.col(BUCKET).isin(touched))
+        existing = self._rows(spark).where(F.col(BUCKET).isin(touched))
         stored = existing.groupBy(BUCKET).agg(F.count(F.lit(1)))
         for bucket, rows in stored.collect():
             sizes[bucket] += rows
         both = existing.withColumn("_new", F.lit(0)).unionByName(
             self._bucketed(events).withColumn("_new", F.lit(1))
         )
-        # On equal positions the stored row stays: the event has been applied before.
+        # On equal positions the event has been applied before.
+        tie = F.col("_new").desc() if corrects else F.col("_new")
         newest = Window.partitionBy(BUCKET, "_part", *self.keys).orderBy(
-            *[F.col(c).desc() for c in self.order_cols], F.col("_new")
+            *[F.col(c).desc() for c in self.order_cols], tie
         )
         merged = (
             self._clustered(both, sizes)
@@ -158,23 +185,12 @@ class KeyedTable:
             .where(F.col("_rank") == 1)
             .drop("_rank", "_part", "_new")
         )
-        if self.delete_mode == "hard":
-            merged = merged.where(~F.col("is_deleted"))
         (
             merged.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy(BUCKET)
             .parquet(self._staged)
         )
-        if self.delete_mode == "hard":
-            # Publishing replaces buckets that have rows; one without any is dropped here.
-            kept = {
-                r[0]
-                for r in spark.read.schema(self._stored).parquet(self._staged)
-                .select(BUCKET).distinct().collect()
-            }
-            for emptied in set(touched) - kept:
-                remove(spark, f"{self.path}/{BUCKET}={emptied}")
         self._publish(spark)
 
     def recover(self, spark: SparkSession) -> bool:

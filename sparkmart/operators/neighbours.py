@@ -27,6 +27,13 @@ class Stretches:
     cuts: DataFrame | None
 
 
+def _matched(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Join on equal columns where NULL equals NULL: a window holds the NULL key as one key."""
+    right = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on]
+    return left.join(right, same, how).drop(*[f"_r_{c}" for c in on])
+
+
 def plan_stretches(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> Stretches:
@@ -45,7 +52,7 @@ def plan_stretches(
     every = F.greatest(F.lit(1), F.floor(F.lit(pieces * rows_per_task) / F.col("_n")))
     some, _ = sampled(df.select(*keys, order[0]), rows_per_task)
     cuts = (
-        some.join(F.broadcast(hot), list(keys))
+        _matched(some, F.broadcast(hot), keys, "inner")
         .groupBy(*keys, "_n")
         .agg(F.percentile_approx(order[0], fractions, max(10_000, 5 * pieces)).alias("_all"))
         .withColumn("_every", every)
@@ -85,7 +92,7 @@ def with_neighbours(
         F.filter("_cuts", lambda cut: cut < F.col(order[0]))
     )
     cut_up = (
-        df.join(F.broadcast(stretches.cuts), keys, "left")
+        _matched(df, F.broadcast(stretches.cuts), keys, "left")
         .withColumn("_stretch", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(position))
         .select(*df.columns, "_stretch", (F.col("_cuts").isNotNull()).alias("_hot"))
     )
@@ -115,7 +122,7 @@ def with_neighbours(
             F.lead("_first").over(across).alias("_edge_next"),
         )
     )
-    stitched = rows.join(F.broadcast(edges), [*keys, "_stretch"], "left")
+    stitched = _matched(rows, F.broadcast(edges), [*keys, "_stretch"], "left")
     prev, nxt = F.coalesce("_prev", "_edge_prev"), F.coalesce("_next", "_edge_next")
     return stitched.select(
         *df.columns,

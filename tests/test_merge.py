@@ -123,6 +123,34 @@ def test_hard_delete_empties_a_bucket(spark, table):
         keyed(table(), delete_mode="gone")
 
 
+def test_hard_delete_survives_a_replay(spark, table):
+    t = keyed(table(), delete_mode="hard")
+    inserted, deleted = event(1, 1, "01"), event(1, 7, "02", True)
+    for step in (inserted, deleted, inserted, deleted):
+        t.upsert(frame(spark, [step]))
+    assert content(t, spark) == []
+    stored = spark.read.parquet(t.path).select("order_number", "q", "lsn")
+    assert rows(stored) == [("SO-1", None, "02")]
+    t.upsert(frame(spark, [event(1, 3, "03")]))
+    assert content(t, spark) == [("SO-1", 3, False, "03")]
+
+
+def test_sparse_numbers_do_not_multiply_buckets(spark, table):
+    rng = random.Random(3)
+    numbers = rng.sample(range(10**15), 400)
+    t = keyed(table(), bucket=number_range_bucket("order_number", 10, buckets=4))
+    t.upsert(frame(spark, [event(n, i, "01") for i, n in enumerate(numbers)]))
+    assert len(glob(f"{t.path}/bucket=*")) <= 4
+    assert len(content(t, spark)) == 400
+
+
+def test_corrections_replace_rows_of_their_own_position_only(spark, table):
+    t = keyed(table())
+    t.upsert(frame(spark, [event(1, 1, "01"), event(2, 2, "05")]))
+    t.upsert(frame(spark, [event(1, 9, "01"), event(2, 9, "04")]), corrects=True)
+    assert content(t, spark) == [("SO-1", 9, False, "01"), ("SO-2", 2, False, "05")]
+
+
 def test_crash_before_the_result_is_complete_leaves_the_table(spark, table, monkeypatch):
     t = keyed(table())
     t.replace(frame(spark, [event(1, 1, "00")]))

@@ -115,6 +115,17 @@ def test_hot_key_cut_into_stretches_gives_the_same_neighbours(spark):
     assert rows(with_neighbours(df, cut, **wanted)) == rows(with_neighbours(df, plain, **wanted))
 
 
+def test_hot_null_key_is_cut_too(spark):
+    data = [(None, i, i) for i in range(300)] + [(1, i, i) for i in range(5)]
+    df = spark.createDataFrame(data, "k bigint, t bigint, i bigint")
+    wanted = {"previous": {"p": F.col("i")}, "following": {"n": F.col("i")}}
+    cut = plan_stretches(df, ["k"], ["t"], rows_per_task=50)
+    assert [r["k"] for r in cut.cuts.collect()] == [None]
+    assert rows(with_neighbours(df, cut, **wanted)) == rows(
+        with_neighbours(df, plan_stretches(df, ["k"], ["t"]), **wanted)
+    )
+
+
 def test_product_dimension(spark):
     history = spark.createDataFrame(
         [
