@@ -435,27 +435,28 @@ def _check_rows() -> str:
         0,
         None,
     )
-    add("fct_returns.after_first_order", f"SELECT count(*) FROM ({_EARLY_RETURNS})", "warn", 0, 50)
+    live = "(SELECT * FROM fct_sales WHERE NOT is_deleted)"
+    add("fct_returns.after_first_order", f"SELECT count(*) FROM ({_EARLY_RETURNS.format(sales=live)})", "warn", 0, 50)
     add(
         "fct_sales.fresh",
-        "SELECT count(*) FROM (SELECT max(order_date_key) AS k FROM fct_sales) "
+        f"SELECT count(*) FROM (SELECT max(order_date_key) AS k FROM {live}) "
         "WHERE k IS NULL OR k < 20010801",
     )
     add(
         "fct_sales.volume",
         "SELECT count(*) FROM (SELECT coalesce(max(CASE WHEN k = 20010801 THEN n END), 0) AS y, "
         "avg(CASE WHEN k < 20010801 THEN n END) AS a FROM (SELECT order_date_key AS k, count(*) AS n "
-        "FROM fct_sales WHERE order_date_key BETWEEN 20010725 AND 20010801 GROUP BY 1)) "
+        f"FROM {live} WHERE order_date_key BETWEEN 20010725 AND 20010801 GROUP BY 1)) "
         "WHERE a IS NULL OR y < a * 0.3",
     )
     return "\nUNION ALL\n".join(parts)
 
 
-_EARLY_RETURNS = (
+_EARLY_RETURNS = (  # of the sales given
     "SELECT r.product_key, first_return_date_key, first_order_date_key "
     "FROM (SELECT product_key, min(return_date_key) AS first_return_date_key FROM staged_returns "
     "GROUP BY 1) r "
-    "JOIN (SELECT product_key, min(order_date_key) AS first_order_date_key FROM fct_sales GROUP BY 1) s "
+    "JOIN (SELECT product_key, min(order_date_key) AS first_order_date_key FROM {sales} GROUP BY 1) s "
     "ON r.product_key = s.product_key WHERE first_return_date_key < first_order_date_key"
 )
 
@@ -659,7 +660,7 @@ def build() -> dict[str, str]:
         "SELECT product_key, count(*) AS violations FROM staged_returns "
         "WHERE product_key NOT IN (SELECT product_key FROM dim_products) GROUP BY 1"
     )
-    o["q5_returned_before_ordered"] = sql(_EARLY_RETURNS)
+    o["q5_returned_before_ordered"] = sql(_EARLY_RETURNS.format(sales="fct_sales"))
     o["q6_stale"] = sql(
         "SELECT latest_day_key FROM (SELECT max(order_date_key) AS latest_day_key FROM fct_sales) "
         "WHERE latest_day_key < 20010902"

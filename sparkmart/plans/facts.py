@@ -75,6 +75,18 @@ def sales_increment(staged_log: DataFrame, dim_products: DataFrame, **tuning: in
     return resolve(latest_state(staged_log, SALES_KEYS), dim_products, **tuning)
 
 
+def late_versions(sales: DataFrame, dim_products: DataFrame, **tuning: int) -> DataFrame:
+    """Sales on the unknown product version, pointed to the version known by now.
+
+    Rows that still have none are left out; the others keep their position, to be merged as
+    corrections.
+    """
+    pending = sales.where(F.col("product_scd_key") == UNKNOWN_VERSION).drop("product_scd_key")
+    return resolve(pending, dim_products, **tuning).where(
+        F.col("product_scd_key") != UNKNOWN_VERSION
+    )
+
+
 def sales_table(
     path: str,
     orders_per_bucket: int = 2_000_000,

@@ -7,7 +7,7 @@ Layout below the root: ``raw/<table>``, ``raw/state``, ``raw/audit``,
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +20,7 @@ from sparkmart.operators.merge import KeyedTable
 from sparkmart.operators.staging import staged
 from sparkmart.plans import dims, facts, star
 from sparkmart.plans.calendar import dim_calendar, key_to_date, spine_over
+from sparkmart.session import materialise, workspace
 from sparkmart.sources.files import children, exists
 from sparkmart.sources.loads import audit, load_append, load_replace, read_loads, table_path
 from sparkmart.streaming.cdc_stream import cdc_to_fact, read_log_stream
@@ -125,12 +126,17 @@ def refresh_dimensions(
     accepted: Collection[str] = (),
 ) -> DataFrame:
     """The daily job: replace the raw tables, extend the history, rebuild the dimensions and
-    the returns, run their checks and, if ``gated``, raise if one fails that is not among the
-    ``accepted`` names. Gives the results."""
+    the returns, repair the fact, check everything and, if ``gated``, raise if a check fails
+    that is not among the ``accepted`` names. Gives the results."""
     _load(wh, sources, DAILY_TABLES, load_id)
     _build_dimensions(wh, as_of)
+    repair_sales(wh)
     tables = wh.star()
-    rules = star.dimension_checks(tables, as_of) + star.returns_checks(tables)
+    rules = (
+        star.dimension_checks(tables, as_of)
+        + star.returns_checks(tables)
+        + star.sales_checks(tables)
+    )
     return _run_checks(wh, rules, load_id, gated, accepted)
 
 
@@ -163,6 +169,13 @@ def _build_dimensions(wh: Warehouse, as_of: date) -> None:
     load_replace(dim_calendar(spine_over(days)), wh.path("marts", "dim_calendar"))
 
 
+def repair_sales(wh: Warehouse) -> None:
+    """Point sales that came before their product to its version, in their buckets only."""
+    found = facts.late_versions(wh.sales.read(wh.spark), wh.mart("dim_products"))
+    repaired = materialise(found, workspace(wh.spark, "repaired-sales"))
+    wh.sales.upsert(repaired, corrects=True)
+
+
 def _complete_members(wh: Warehouse, baseline: DataFrame, sales: DataFrame) -> None:
     """Customers and territories, completed by the keys that sales and returns use."""
     load_replace(
@@ -222,12 +235,16 @@ def bootstrap(
     return _run_checks(wh, rules, load_id, gated, accepted)
 
 
+def _position_before(wh: Warehouse, load_id: str) -> str:
+    """The log position that all other loads have reached."""
+    earlier = read_loads(wh.spark, wh.path("raw", "state")).where(F.col("load_id") != load_id)
+    return cdc.cursor(earlier, SALES_SOURCE)
+
+
 def extract_changes(wh: Warehouse, log: DataFrame, load_id: str) -> None:
     """Append what the log holds beyond the stored position, then move the position on."""
     state = wh.path("raw", "state")
-    earlier = read_loads(wh.spark, state).where(F.col("load_id") != load_id)
-    lsn = cdc.cursor(earlier, SALES_SOURCE)
-    fresh = cdc.read_since(log, lsn, "_start_lsn")
+    fresh = cdc.read_since(log, _position_before(wh, load_id), "_start_lsn")
     load_append(fresh, wh.path("raw", "sales_log"), load_id)
     if not exists(wh.spark, wh.path("raw", "sales_log")):
         return
@@ -300,14 +317,17 @@ def run_increment(
 ) -> DataFrame:
     """The half-hourly job: extract, merge, check the fact and raise if a check fails.
 
-    Members and days that the changes bring are added before the checks. With ``as_of`` the
-    freshness and the volume of that morning are checked as well.
+    Members and days that the changes bring are added before the checks. Column and key
+    checks read the rows that this load has brought; the daily job checks all. With ``as_of``
+    the freshness and the volume of that morning are checked as well.
     """
+    before = _position_before(wh, load_id)
     extract_changes(wh, log, load_id)
     merge_changes(wh, log.schema)
     extend_dimensions(wh, log.schema, load_id)
     tables = wh.star()
-    rules = [*star.sales_checks(tables), star.return_order_check(tables)]
+    brought = replace(tables, sales=tables.sales.where(F.col("lsn") > before))
+    rules = [*star.sales_checks(brought), star.return_order_check(tables)]
     if as_of is not None:
         rules += star.volume_checks(tables, as_of)
     return _run_checks(wh, rules, load_id, gated, accepted)

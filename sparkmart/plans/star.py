@@ -23,6 +23,7 @@ from sparkmart.operators.checks import (
     volume_anomaly,
 )
 from sparkmart.plans.calendar import key_to_date
+from sparkmart.plans.facts import live
 
 
 @dataclass(frozen=True)
@@ -185,9 +186,10 @@ def returns_checks(star: Star) -> list[Check]:
 
 
 def return_order_check(star: Star) -> Check:
+    """Deleted sales are no orders."""
     return Check(
         "fct_returns.after_first_order",
-        returned_before_ordered(star.sales, star.returns),
+        returned_before_ordered(live(star.sales), star.returns),
         severity="warn",
         warn_if=0,
         error_if=50,
@@ -219,13 +221,14 @@ def sales_checks(star: Star) -> list[Check]:
 def volume_checks(star: Star, as_of: date) -> list[Check]:
     """Freshness and volume of the sales fact, as seen on the morning of ``as_of``.
 
-    The days that count are also given as bounds on the stored key, which reach the scan.
+    Deleted sales do not count. The days that do are also given as bounds on the stored key,
+    which reach the scan.
     """
     first, last = (int(f"{as_of - timedelta(days=n):%Y%m%d}") for n in (8, 1))
-    recent = star.sales.where(F.col("order_date_key").between(first, last))
+    recent = live(star.sales.where(F.col("order_date_key").between(first, last)))
     dated = recent.select(key_to_date(F.col("order_date_key")).alias("order_date"))
     return [
-        Check("fct_sales.fresh", stale(star.sales, "order_date_key", as_of)),
+        Check("fct_sales.fresh", stale(live(star.sales), "order_date_key", as_of)),
         Check("fct_sales.volume", volume_anomaly(dated, "order_date", as_of)),
     ]
 

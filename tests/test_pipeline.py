@@ -139,6 +139,23 @@ def test_increment_brings_its_members_and_days(spark, table):
         pipeline.run_increment(wh, before.unionByName(new), "inc-2", as_of=date(2024, 2, 1))
 
 
+def test_sales_before_their_product_are_repaired(spark, table):
+    wh = pipeline.Warehouse(spark, table())
+    before = log(spark, [(1, 1, 10, 2, 1)])
+    first = sources(spark)
+    first["products"] = first["products"].where("product_key <> 2")
+    pipeline.bootstrap(wh, first, before, FIRST, "boot")
+    versions = lambda: rows(wh.sales.read(spark), "order_number", "product_scd_key", "lsn")
+    assert [v == "-1" for _, v, _ in versions()] == [False, True]
+    at = [lsn for *_, lsn in versions()]
+    for day in ("day-2", "day-2-again"):
+        pipeline.refresh_dimensions(wh, sources(spark), SECOND, day)
+    known = {r[0] for r in rows(wh.mart("dim_products").where("product_key = 2"), "product_scd_key")}
+    assert versions()[1][1] in known - {"-1"}
+    assert [lsn for *_, lsn in versions()] == at
+    assert facts_of(wh) == [("SO-1", 10, False, 1), ("SO-2", 20, False, 77)]
+
+
 def test_failing_first_load_leaves_the_fact(spark, table):
     wh = pipeline.Warehouse(spark, table())
     twice = sources(spark)
