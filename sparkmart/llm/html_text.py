@@ -1,11 +1,14 @@
 """HTML extraction by line-block distribution.
 
 Method: markup is stripped to lines, one per block element. Text lengths (without link text)
-are summed over sliding windows of lines; a region reaches from the line where the sum
-surges from nothing to the line where it dives back to nothing, and the text between is kept.
-Boilerplate elements and the borders of the article element leave a gap of empty lines, so
-no region crosses them. Regions inside the article element are the main text; without
-one, the regions that hold a fair share of the largest one.
+are summed over sliding windows of lines. A region is a stretch between two dives of the sum
+(to ``DIVE``) within which it surges (to ``SURGE``, or half the page's largest sum where that
+is less), and the text between is kept. Boilerplate elements and the borders of the article
+element leave a gap of empty lines, so no region crosses them.
+
+The article (or main) element is the final check: where it holds most of the text of the
+regions, or the rest is too short to surge, it is the main text, whole and alone. Where it
+does not, as with teasers beside a story, the regions stand.
 """
 
 from __future__ import annotations
@@ -21,6 +24,9 @@ from pyspark.sql import functions as F
 from . import text as tx
 
 LINES = 3
+#: Characters in a window: a region has one of ``SURGE`` and ends where there are ``DIVE``.
+SURGE = 80
+DIVE = 0
 SHARE = 0.25
 
 #: Elements and words in class, id or role that mark boilerplate.
@@ -70,10 +76,10 @@ def _marked(attributes: str, marks: set[str]) -> bool:
 
 
 class _Lines:
-    """The lines of a page: text, length without links, whether in the article or main element."""
+    """The lines of a page: text, length without links, and which of article and main hold it."""
 
     def __init__(self) -> None:
-        self.lines: list[tuple[str, int, str]] = []
+        self.lines: list[tuple[str, int, tuple[str, ...]]] = []
         self.parts: list[str] = []
         self.linked = 0
         self.inside = {"article": 0, "main": 0}
@@ -89,17 +95,17 @@ class _Lines:
         if self.parts:
             text = " ".join(html.unescape("".join(self.parts)).split())
             if text:
-                where = next((k for k in ("article", "main") if self.inside[k]), "")
-                own = 0 if 2 * self.linked > len(text) and not where else len(text)
+                where = tuple(k for k in ("article", "main") if self.inside[k])
+                own = 0 if 2 * self.linked > len(text) else len(text)
                 self.lines.append((text, own, where))
         self.parts, self.linked = [], 0
 
     def gap(self) -> None:
         self.end()
-        self.lines += [("", 0, "")] * LINES
+        self.lines += [("", 0, ())] * LINES
 
 
-def lines(page: str) -> list[tuple[str, int, str]]:
+def lines(page: str) -> list[tuple[str, int, tuple[str, ...]]]:
     """The lines of a page, without boilerplate elements."""
     out, at, size = _Lines(), 0, len(page)
     dropped, depth = "", 0  # the boilerplate element we are in, and how often it is nested
@@ -159,38 +165,37 @@ def _after(page: str, at: int, name: str) -> int:
     return close.end() if close else len(page)
 
 
-def regions(lengths: list[int], window: int = LINES) -> list[tuple[int, int]]:
-    """First line and end of every stretch between a surge and the next dive."""
+def regions(lengths: list[int], window: int = LINES) -> list[tuple[int, int, bool]]:
+    """First line and end of every stretch between two dives, and whether it has a surge."""
     sums = [sum(lengths[i : i + window]) for i in range(len(lengths))]
+    surge = min(SURGE, max(sums, default=0) / 2)
     out, start = [], None
     for i, total in enumerate([*sums, 0]):
-        if total and start is None:
+        if total > DIVE and start is None:
             start = i
-        elif not total and start is not None:
-            out.append((start, i))
+        elif total <= DIVE and start is not None:
+            # the window sees a line before it comes, and a line behind the dive has no text
+            full = [k for k in range(start, i) if lengths[k]]
+            out.append((full[0], full[-1] + 1, max(sums[start:i]) >= surge))
             start = None
-    # the window sees a surge before its line and a line behind the dive has no text
-    trimmed = []
-    for low, high in out:
-        full = [i for i in range(low, high) if lengths[i]]
-        trimmed.append((full[0], full[-1] + 1))
-    return trimmed
+    return out
 
 
 def extract(page: str | None) -> str:
     """The main text of a page."""
     found = lines(page or "")
+    parts = regions([n for _, n, _ in found])
+    totals = [sum(n for _, n, _ in found[a:b]) for a, b, _ in parts]
+    least = SHARE * max(totals, default=0)
+    kept = [i for (a, b, surges), t in zip(parts, totals, strict=True) if surges and t >= least for i in range(a, b)]
+    chosen = sum(found[i][1] for i in kept)
     for where in ("article", "main"):
-        if any(w == where for _, _, w in found):
-            found = [x if x[2] == where else ("", 0, "") for x in found]
-            kept = regions([n for _, n, _ in found])
+        whole = [i for i, (_, _, inside) in enumerate(found) if where in inside]
+        held = sum(found[i][1] for i in kept if where in found[i][2])
+        if any(found[i][0] for i in whole) and (2 * held > chosen or chosen - held < SURGE):
+            kept = whole
             break
-    else:
-        parts = regions([n for _, n, _ in found])
-        totals = [sum(n for _, n, _ in found[a:b]) for a, b in parts]
-        least = SHARE * max(totals, default=0)
-        kept = [p for p, t in zip(parts, totals, strict=True) if t >= least]
-    return " ".join(text for a, b in kept for text, _, _ in found[a:b] if text)
+    return " ".join(found[i][0] for i in kept if found[i][0])
 
 
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
