@@ -3,8 +3,9 @@
 Method: markup is stripped to lines, one per block element. Text lengths (without link text)
 are summed over sliding windows of lines. A region is a stretch between two dives of the sum
 (to ``DIVE``) within which it surges (to ``SURGE``, or half the page's largest sum where that
-is less), and the text between is kept. Boilerplate elements and the borders of the article
-element leave a gap of empty lines, so no region crosses them.
+is less), and the text between is kept. A stretch without a surge is kept if it shares its
+box (a div, section or the like), or the one around, with a region. Boilerplate elements leave
+no trace; the borders of the article element leave a gap of empty lines that no region crosses.
 
 The article (or main) element is the final check: where it holds most of the text of the
 regions, or the rest is too short to surge, it is the main text, whole and alone. Where it
@@ -15,7 +16,9 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +30,6 @@ LINES = 3
 #: Characters in a window: a region has one of ``SURGE`` and ends where there are ``DIVE``.
 SURGE = 80
 DIVE = 0
-SHARE = 0.25
 
 #: Elements and words in class, id or role that mark boilerplate.
 RAW = {"script", "style", "textarea", "xmp", "title"}
@@ -44,6 +46,9 @@ BOILERPLATE_WORDS = set(
     " recommended recommendations newsletter subscribe signup login search pagination pager"
     " toolbar widget hidden".split()
 )
+#: Elements that hold a part of a page, and those that end tags inside do not reach beyond.
+BOXES = set("article blockquote center details div main section td th".split())
+SCOPES = set("article caption main object table td template th".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp"
     " small span strike strong sub sup time tt u var wbr img".split()
@@ -75,15 +80,28 @@ def _marked(attributes: str, marks: set[str]) -> bool:
     return False
 
 
+class Line(NamedTuple):
+    """Text, its length (0 if mostly links), which of article and main hold it, and its boxes."""
+
+    text: str
+    length: int = 0
+    inside: tuple[str, ...] = ()
+    boxes: tuple[int, ...] = ()
+
+
 class _Lines:
-    """The lines of a page: text, length without links, and which of article and main hold it."""
+    """The lines of a page, and the block elements that are open."""
 
     def __init__(self) -> None:
-        self.lines: list[tuple[str, int, tuple[str, ...]]] = []
+        self.lines: list[Line] = []
         self.parts: list[str] = []
         self.linked = 0
-        self.inside = {"article": 0, "main": 0}
         self.in_link = False
+        self.open: list[str] = []
+        self.counts: Counter[str] = Counter()
+        self.boxes = [0]  # numbers of the open boxes, the page itself being 0
+        self.n_boxes = 0
+        self.dropped = 0  # how many elements are open up to the boilerplate one we are in
 
     def text(self, raw: str) -> None:
         if raw:
@@ -95,67 +113,100 @@ class _Lines:
         if self.parts:
             text = " ".join(html.unescape("".join(self.parts)).split())
             if text:
-                where = tuple(k for k in ("article", "main") if self.inside[k])
                 own = 0 if 2 * self.linked > len(text) else len(text)
-                self.lines.append((text, own, where))
+                where = tuple(k for k in ("article", "main") if self.counts[k])
+                self.lines.append(Line(text, own, where, tuple(self.boxes[-2:])))
         self.parts, self.linked = [], 0
 
     def gap(self) -> None:
         self.end()
-        self.lines += [("", 0, ())] * LINES
-
-
-def lines(page: str) -> list[tuple[str, int, tuple[str, ...]]]:
+        self.lines += [Line("")] * LINES
+
+    def push(self, name: str, drop: bool) -> None:
+        if not self.dropped:
+            self.end()
+            if name in ("article", "main") and not drop:
+                self.gap()
+            if name in BOXES and not drop:
+                self.n_boxes += 1
+                self.boxes.append(self.n_boxes)
+        self.open.append(name)
+        if drop and not self.dropped:
+            self.dropped = len(self.open)
+        elif not self.dropped:
+            self.counts[name] += 1
+
+    def pop(self, depth: int) -> None:
+        """Close all open elements from ``depth`` on."""
+        while len(self.open) > depth:
+            if not self.dropped:
+                self.gap() if self.open[-1] in ("article", "main") else self.end()
+                self.counts[self.open[-1]] -= 1
+                if self.open[-1] in BOXES:
+                    self.boxes.pop()
+            elif len(self.open) == self.dropped:
+                self.dropped = 0
+            self.open.pop()
+
+    def close(self, name: str) -> None:
+        """An end tag; one that nothing in its cell or article opened closes nothing."""
+        within = self.dropped and name in self.open[self.dropped - 1 :]
+        if within or self.counts[name]:
+            for at in range(len(self.open) - 1, -1, -1):
+                if self.open[at] == name:
+                    self.pop(at)
+                    return
+                if self.open[at] in SCOPES and name not in SCOPES and name not in ("body", "html"):
+                    break
+        if not self.dropped and name not in INLINE:
+            self.end()
+
+
+def lines(page: str) -> list[Line]:
     """The lines of a page, without boilerplate elements."""
     out, at, size = _Lines(), 0, len(page)
-    dropped, depth = "", 0  # the boilerplate element we are in, and how often it is nested
     while at < size:
         token = _TOKEN.search(page, at)
         if not token:
-            if not dropped:
+            if not out.dropped:
                 out.text(page[at:])
             break
-        if not dropped and token.start() > at:
+        if not out.dropped and token.start() > at:
             out.text(page[at : token.start()])
         at = max(token.end(), at + 1)
         if token[2] is None:
             continue
         closing, name, attributes = bool(token[1]), token[2].lower(), token[3]
-        if dropped:
-            if name == dropped and not token[4]:
-                depth += -1 if closing else 1
-            # an element left open ends where its page part does
-            ends = closing and name in ("body", "html", "article", "main")
-            if depth == 0 or ends or (name in ("article", "main") and dropped not in ("head",)):
-                dropped, depth = "", 0
-                out.gap()
-                if ends or (closing and name not in ("article", "main")):
-                    if name in out.inside:
-                        out.inside[name] = 0
-                    continue
-            elif name == "body" and not closing:
-                dropped, depth = "", 0
-            else:
-                if name in RAW and not closing:
-                    at = _after(page, at, name)
-                continue
-        if name in RAW and not closing:
+        if closing:
+            if name == "a" and not out.dropped:
+                out.in_link = False
+            out.close(name)
+            continue
+        if name in RAW:
             at = _after(page, at, name)
             continue
-        if not closing and name not in VOID and not token[4] and _is_boilerplate(name, attributes):
-            out.gap()
-            dropped, depth = name, 1
+        if out.dropped:
+            # an element left open ends where the page's main part begins
+            left = out.open[out.dropped - 1]
+            if name == "body" or (name in ("article", "main") and left != "head"):
+                out.pop(out.dropped - 1)
+        if out.dropped:
+            if name not in VOID and not token[4] and (name not in INLINE or name == left):
+                out.push(name, False)
             continue
-        if name in out.inside:
-            out.gap()
-            out.inside[name] = max(0, out.inside[name] + (-1 if closing else 1))
+        if name not in VOID and not token[4] and _is_boilerplate(name, attributes):
+            out.push(name, True)
         elif name == "a":
-            out.in_link = not closing
+            out.in_link = True
         elif name == "br":
             out.text(" ")
         elif name not in INLINE:
-            out.end()
-    out.end()
+            if name in VOID or token[4]:
+                out.end()
+            else:
+                out.push(name, False)
+    if not out.dropped:
+        out.end()
     return out.lines
 
 
@@ -184,18 +235,27 @@ def regions(lengths: list[int], window: int = LINES) -> list[tuple[int, int, boo
 def extract(page: str | None) -> str:
     """The main text of a page."""
     found = lines(page or "")
-    parts = regions([n for _, n, _ in found])
-    totals = [sum(n for _, n, _ in found[a:b]) for a, b, _ in parts]
-    least = SHARE * max(totals, default=0)
-    kept = [i for (a, b, surges), t in zip(parts, totals, strict=True) if surges and t >= least for i in range(a, b)]
-    chosen = sum(found[i][1] for i in kept)
+    parts = regions([x.length for x in found])
+    boxes = {box for a, b, surges in parts if surges for x in found[a:b] for box in _own(x)}
+    kept = [
+        i
+        for a, b, surges in parts
+        if surges or any(not boxes.isdisjoint(_own(x)) for x in found[a:b])
+        for i in range(a, b)
+    ]
+    chosen = sum(found[i].length for i in kept)
     for where in ("article", "main"):
-        whole = [i for i, (_, _, inside) in enumerate(found) if where in inside]
-        held = sum(found[i][1] for i in kept if where in found[i][2])
-        if any(found[i][0] for i in whole) and (2 * held > chosen or chosen - held < SURGE):
+        whole = [i for i, x in enumerate(found) if where in x.inside]
+        held = sum(found[i].length for i in kept if where in found[i].inside)
+        if any(found[i].text for i in whole) and (2 * held > chosen or chosen - held < SURGE):
             kept = whole
             break
-    return " ".join(found[i][0] for i in kept if found[i][0])
+    return " ".join(found[i].text for i in kept if found[i].text)
+
+
+def _own(line: Line) -> tuple[int, ...]:
+    """The box of a line and the one around it; the page counts only as the former."""
+    return line.boxes[-1:] if line.boxes[:1] == (0,) else line.boxes
 
 
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

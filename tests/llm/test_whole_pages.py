@@ -24,3 +24,19 @@ def test_article_is_whole_where_it_holds_the_surge():
 
 def test_regions_need_a_surge():
     assert html_text.regions([0, 100, 0, 0, 0, 0, 5, 0]) == [(1, 2, True), (6, 7, False)]
+
+
+def test_parts_behind_dropped_elements_and_link_lists_stay():
+    for dropped in ("<div class=ad>buy</div>", "<form>x</form>", "<aside>x</aside>"):
+        page = f"<div><p>{TEXT * 5}</p>{dropped}<p>short closing paragraph</p></div>"
+        assert html_text.extract(page) == f"{TEXT * 5} short closing paragraph"
+    links = "<ul>" + "<li><a href=x>link</a></li>" * 9 + "</ul>"
+    for a, b in (("<p>", "</p>"), ("<div>", "</div>")):
+        page = f"<div>{a}{TEXT * 5}{b}{links}{a}short closing part{b}</div><div>{links}</div><div><div>far</div></div>"
+        assert html_text.extract(page) == f"{TEXT * 5} short closing part"
+
+
+def test_what_boilerplate_opens_stays_out():
+    assert html_text.extract("<div class=ad><div>a</div><span>b</span>c</div>text</div> more") == "text more"
+    assert html_text.extract("<p>one <span class=ad>x <span>y</span> z</span> two</p>") == "one two"
+    assert html_text.extract("<div>" * 20_000 + "deep" + "</i></section>" * 20_000) == "deep"
