@@ -31,7 +31,7 @@ LINES = 3
 SURGE = 80
 DIVE = 0
 
-#: Elements and words in class, id or role that mark boilerplate.
+#: Elements and classes, ids or roles that mark boilerplate.
 RAW = {"script", "style", "textarea", "xmp", "title"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE = set(
@@ -46,6 +46,35 @@ BOILERPLATE_WORDS = set(
     " recommended recommendations newsletter subscribe signup login search pagination pager"
     " toolbar widget hidden".split()
 )
+COMMENT_WORDS = {"comment", "comments", "commentlist", "disqus"}
+#: Words beside a mark in a class or id, such as ad-box; any other makes it no mark.
+BEARERS = set(
+    "area bar block bottom box btn button buttons col container content element footer form frame"
+    " global group head holder icons id inner item items left link links list main message outer"
+    " page panel post posts right row section site slot top unit wrap wrapper".split()
+)
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements whose start ends an open one of these, if it is not beyond one of those.
+_CELLS = {"td", "th"}
+_LISTS = set("article main menu ol section table td th ul".split())
+ENDS = {
+    "li": ({"li"}, _LISTS),
+    "dt": ({"dt", "dd"}, _LISTS | {"dl"}),
+    "dd": ({"dt", "dd"}, _LISTS | {"dl"}),
+    "option": ({"option"}, {"select", "datalist"}),
+    "td": (_CELLS, {"table", "tr"}),
+    "th": (_CELLS, {"table", "tr"}),
+    "tr": ({"tr"}, {"table"}),
+    "thead": ({"thead", "tbody", "tfoot"}, {"table"}),
+    "tbody": ({"thead", "tbody", "tfoot"}, {"table"}),
+    "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}),
+}
+#: Elements whose start ends an open paragraph.
+ENDS_P = set(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption"
+    " figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search"
+    " section summary table ul".split()
+)
 #: Elements that hold a part of a page, and those that end tags inside do not reach beyond.
 BOXES = set("article blockquote center details div main section td th".split())
 SCOPES = set("article caption main object table td template th".split())
@@ -59,25 +88,41 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)(?:>|\Z)",
     re.S,
 )
-_MARKS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
-_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
+_PARTS = re.compile(r"[A-Z]?[^\W\d_A-Z]+|[A-Z]+")
 
 
-def _is_boilerplate(name: str, attributes: str) -> bool:
+def _is_boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     if name in BOILERPLATE:
         return True
-    if not attributes or name in ("html", "body", "main", "article"):
-        return name == "article" and _marked(attributes, {"comment", "comments"})
-    return bool(_HIDDEN.search(attributes)) or _marked(attributes, BOILERPLATE_WORDS)
+    if not attributes or name in ("html", "body", "main"):
+        return False
+    given: dict[str, str] = {}
+    for found in _ATTRIBUTE.finditer(attributes):
+        given.setdefault(found[1].lower(), found[2] or found[3] or found[4] or "")
+    own_id, classes = given.get("id", ""), given.get("class", "").split()
+    if name == "article":
+        return any(_means(x, COMMENT_WORDS) for x in [*classes, own_id])
+    if (
+        given.get("hidden", "until-found").lower() != "until-found"
+        or given.get("aria-hidden", "").lower() == "true"
+        or _NOT_SHOWN.search(given.get("style", ""))
+        or any(x.lower() in BOILERPLATE_WORDS for x in given.get("role", "").split())
+        or any(_means(x, BOILERPLATE_WORDS) for x in classes)
+    ):
+        return True
+    # ids of headings and sections are made from their titles
+    if name in HEADINGS:
+        return False
+    titled = in_article and (name == "section" or "section" in classes)
+    return _means(own_id, COMMENT_WORDS if titled else BOILERPLATE_WORDS)
 
 
-def _marked(attributes: str, marks: set[str]) -> bool:
-    for found in _MARKS.finditer(attributes):
-        value = found[2] or found[3] or found[4] or ""
-        if any(part.lower() in marks for part in _PARTS.findall(value)):
-            return True
-    return False
+def _means(token: str, marks: set[str]) -> bool:
+    """Whether a class or id as a whole is a mark: all its words are marks or say what bears one."""
+    parts = [x.lower() for x in _PARTS.findall(token) if len(x) > 1]
+    return not marks.isdisjoint(parts) and all(x in marks or x in BEARERS for x in parts)
 
 
 class Line(NamedTuple):
@@ -98,7 +143,8 @@ class _Lines:
         self.linked = 0
         self.in_link = False
         self.open: list[str] = []
-        self.counts: Counter[str] = Counter()
+        self.all_open: Counter[str] = Counter()
+        self.counts: Counter[str] = Counter()  # of those outside dropped elements
         self.boxes = [0]  # numbers of the open boxes, the page itself being 0
         self.n_boxes = 0
         self.dropped = 0  # how many elements are open up to the boilerplate one we are in
@@ -122,6 +168,23 @@ class _Lines:
         self.end()
         self.lines += [Line("")] * LINES
 
+    def imply(self, name: str) -> None:
+        """Close what the start of an element ends without an end tag."""
+        if name in ENDS:
+            self._end_open(*ENDS[name])
+        if name in ENDS_P:
+            self._end_open({"p"}, SCOPES | {"button"})
+
+    def _end_open(self, names: set[str], bounds: set[str]) -> None:
+        if not any(self.all_open[x] for x in names):
+            return
+        for at in range(len(self.open) - 1, -1, -1):
+            if self.open[at] in names:
+                self.pop(at)
+                return
+            if self.open[at] in bounds:
+                return
+
     def push(self, name: str, drop: bool) -> None:
         if not self.dropped:
             self.end()
@@ -131,6 +194,7 @@ class _Lines:
                 self.n_boxes += 1
                 self.boxes.append(self.n_boxes)
         self.open.append(name)
+        self.all_open[name] += 1
         if drop and not self.dropped:
             self.dropped = len(self.open)
         elif not self.dropped:
@@ -146,12 +210,11 @@ class _Lines:
                     self.boxes.pop()
             elif len(self.open) == self.dropped:
                 self.dropped = 0
-            self.open.pop()
+            self.all_open[self.open.pop()] -= 1
 
     def close(self, name: str) -> None:
         """An end tag; one that nothing in its cell or article opened closes nothing."""
-        within = self.dropped and name in self.open[self.dropped - 1 :]
-        if within or self.counts[name]:
+        if self.all_open[name]:
             for at in range(len(self.open) - 1, -1, -1):
                 if self.open[at] == name:
                     self.pop(at)
@@ -185,6 +248,7 @@ def lines(page: str) -> list[Line]:
         if name in RAW:
             at = _after(page, at, name)
             continue
+        out.imply(name)
         if out.dropped:
             # an element left open ends where the page's main part begins
             left = out.open[out.dropped - 1]
@@ -194,7 +258,9 @@ def lines(page: str) -> list[Line]:
             if name not in VOID and not token[4] and (name not in INLINE or name == left):
                 out.push(name, False)
             continue
-        if name not in VOID and not token[4] and _is_boilerplate(name, attributes):
+        if name not in VOID and not token[4] and _is_boilerplate(
+            name, attributes, bool(out.counts["article"] or out.counts["main"])
+        ):
             out.push(name, True)
         elif name == "a":
             out.in_link = True

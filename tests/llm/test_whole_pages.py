@@ -40,3 +40,25 @@ def test_what_boilerplate_opens_stays_out():
     assert html_text.extract("<div class=ad><div>a</div><span>b</span>c</div>text</div> more") == "text more"
     assert html_text.extract("<p>one <span class=ad>x <span>y</span> z</span> two</p>") == "one two"
     assert html_text.extract("<div>" * 20_000 + "deep" + "</i></section>" * 20_000) == "deep"
+
+
+def test_titles_in_ids_and_classes_mark_nothing():
+    page = f"""<article><p>{TEXT}<section id=related-work><h2 id=search-algorithms>Search</h2><p>1</p></section>
+        <section id="notice-period"><p>2</p></section><section id=search><h2 id=header>H</h2>3</section>
+        <div class="share-price" title="hidden costs">4</div><p id=hidden-costs>5</p></article>"""
+    assert html_text.extract(page) == f"{TEXT} Search 1 2 H 3 4 5"
+    for marked in ("class=ad", 'class="x ad-box"', "class=cookieNotice", "id=site-footer", "role=search", "hidden=''",
+                   "class=share-buttons", "aria-hidden=true", "style='display: none'", "id=comments"):
+        got = html_text.extract(f"<article><p>{TEXT}<div {marked}>no</div>yes</article>")
+        assert got == f"{TEXT} yes"
+
+
+def test_dropped_elements_without_end_tags_end_at_the_next():
+    page = f"<article><p>{TEXT}<p class=notice>no<p>1<p>2<ul><li class=ad>no<li>3<li class=ad>no</ul>4</article>"
+    assert html_text.extract(page) == f"{TEXT} 1 2 3 4"
+    page = f"<article><div><p class=ad>no</div><p>{TEXT}<p class=ad>no<h2>1</h2><dl><dt class=ad>no<dd>2</dl>"
+    assert html_text.extract(page) == f"{TEXT} 1 2"
+    page = f"<article><p>{TEXT}<table><tr><td class=ad>no<td>1<tr class=ad><td>no<tr><td>2</table>"
+    assert html_text.extract(page) == f"{TEXT} 1 2"
+    page = f"<article><p>{TEXT}<ul><li class=ad>no<ul><li>no</ul>no<li>1</ul>"
+    assert html_text.extract(page) == f"{TEXT} 1"
