@@ -44,7 +44,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts by a mark; ``n_chars`` follows."""
-    done = secret_scan.redact(secret_scan.scan(docs))
+    done = secret_scan.redact(secret_scan.scan(docs, by_part=True))
     changed = F.size("secrets") > 0
     return done.withColumn(
         "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))

@@ -39,7 +39,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scanned = secret_scan.scan(_documents(spark, sf_dir))
+    scanned = secret_scan.scan(_documents(spark, sf_dir), by_part=True)
 
     def number(kind: str):
         return F.size(

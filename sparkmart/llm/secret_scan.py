@@ -2,8 +2,10 @@
 
 Method: over every candidate string (a long run of token characters with a digit) slides a
 window; its Shannon entropy follows from counts that change by one character in and one
-out per step. A threshold per character class tells keys from words; candidates on the
-allow-list are suppressed. All of it is expressions on the row: no shuffle and no Python.
+out per step. A threshold per character class tells keys from words; what is on the
+allow-list is suppressed. ``by_part`` decides whether class and allow-list apply to each window
+and to the part that matches, or to a candidate as a whole, which hides keys behind key= and
+beside placeholders. All of it is expressions on the row: no shuffle and no Python.
 
 Positions are code points, ends exclusive.
 """
@@ -27,7 +29,7 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
 #: Bits per character from which a window is suspicious; 4.32 is the most 20 characters have.
-THRESHOLDS = {"hex": 3.0, "other": 3.7}
+THRESHOLDS = {"hex": 3.0, "other": 3.7, "letters": 3.7}
 #: Candidates that are no secrets: UUIDs, placeholders, one character over and over, counting.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
@@ -36,6 +38,14 @@ ALLOWED = (
     r"(?i)0123456789|abcdefghij",
     r"^[0-9]+([-/_][0-9]+)*$",
 )
+#: The same by part: any long run is a candidate, and what is allowed is cut out of it.
+RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+ALLOWED_PARTS = (
+    r"(?<![A-Za-z0-9])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9])"
+    r"|(?i:example|placeholder|changeme|dummy|x{6,}|0123456789|abcdefghij)"
+    r"|(?<![A-Za-z0-9])(?=[0-9/_-]{20})[0-9]+(?:[-/_][0-9]+)*+(?![A-Za-z0-9])"
+)
+PART = rf"(?:{ALLOWED_PARTS})|\G((?:(?!{ALLOWED_PARTS})[A-Za-z0-9+/_=-]){{20,}}+)"
 
 
 def _spans(text: Column, pattern: str, group: int = 0) -> Column:
@@ -71,7 +81,9 @@ def _spans(text: Column, pattern: str, group: int = 0) -> Column:
     ).otherwise(none)
 
 
-def _entropy_range(found: Column, window: int, thresholds: dict[str, float]) -> Column:
+def _entropy_range(
+    found: Column, window: int, thresholds: dict[str, float], by_part: bool = False
+) -> Column:
     """First and last window (by last character, 0-based) above the threshold, -1 for none."""
     weights = F.array(*[F.lit(c * log2(c) if c > 1 else 0.0) for c in range(window + 2)])
 
@@ -79,10 +91,21 @@ def _entropy_range(found: Column, window: int, thresholds: dict[str, float]) ->
         return F.get(weights, count)
 
     codes = F.transform(F.split(found, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    least = F.when(found.rlike("^[0-9a-fA-F]+$"), F.lit(thresholds["hex"])).otherwise(
-        F.lit(thresholds["other"])
-    )
-    most = (log2(window) - least) * window  # of the sum of count * log2(count)
+    hexadecimal = F.array(*[F.lit(int(c in "0123456789abcdefABCDEF")) for c in ALPHABET])
+
+    def most(threshold: str) -> Column:  # of the sum of count * log2(count)
+        least = thresholds.get(threshold, thresholds["other"])
+        return F.lit((log2(window) - least) * window)
+
+    def limit(n_hex: Column) -> Column:
+        if not by_part:
+            return F.when(found.rlike("^[0-9a-fA-F]+$"), most("hex")).otherwise(most("other"))
+        return (
+            F.when(~found.rlike("[0-9]"), most("letters"))
+            .when(n_hex == window, most("hex"))
+            .otherwise(most("other"))
+        )
+
     zeros = F.array_repeat(F.lit(0), len(ALPHABET))
     # each step has the character that comes in, the one that goes out, and its place
     out = F.concat(F.array_repeat(F.lit(-1), window), codes)
@@ -91,6 +114,7 @@ def _entropy_range(found: Column, window: int, thresholds: dict[str, float]) ->
     start = F.struct(
         zeros.alias("counts"),
         F.lit(0.0).alias("sum"),
+        F.lit(0).alias("n_hex"),
         F.lit(0).alias("at"),
         F.lit(-1).alias("first"),
         F.lit(-1).alias("last"),
@@ -102,7 +126,9 @@ def _entropy_range(found: Column, window: int, thresholds: dict[str, float]) ->
         change = weight(more + 1) - weight(more)
         change = change + F.when(leaves >= 0, weight(less - 1) - weight(less)).otherwise(0.0)
         total = state["sum"] + F.when(enters == leaves, 0.0).otherwise(change)
-        hit = (state["at"] >= window - 1) & (total <= most)
+        n_hex = state["n_hex"] + F.get(hexadecimal, enters)
+        n_hex = n_hex - F.when(leaves >= 0, F.get(hexadecimal, leaves)).otherwise(0)
+        hit = (state["at"] >= window - 1) & (total <= limit(n_hex))
         return F.struct(
             F.when(enters == leaves, counts)
             .otherwise(
@@ -115,6 +141,7 @@ def _entropy_range(found: Column, window: int, thresholds: dict[str, float]) ->
             )
             .alias("counts"),
             total.alias("sum"),
+            n_hex.alias("n_hex"),
             (state["at"] + 1).alias("at"),
             F.when(hit & (state["first"] < 0), state["at"]).otherwise(state["first"]).alias("first"),
             F.when(hit, state["at"]).otherwise(state["last"]).alias("last"),
@@ -135,12 +162,17 @@ def _named(spans: Column, kind: str) -> Column:
 
 
 def scan(
-    docs: DataFrame, window: int = WINDOW, thresholds: dict[str, float] | None = None
+    docs: DataFrame,
+    window: int = WINDOW,
+    thresholds: dict[str, float] | None = None,
+    by_part: bool = False,
 ) -> DataFrame:
     """``docs`` with ``secrets``: all spans (start, kind, end) by start and kind.
 
     ``kind`` is an index of ``KINDS``. An entropy span reaches from the first to the last
-    window of a candidate that is above the threshold. A null text counts as empty, which
+    window of a candidate (``by_part``: of what the allow-list leaves of it in one piece) that
+    is above the threshold. ``by_part`` each window has its own class, and candidates without
+    a digit are scored too. A null text counts as empty, which
     has no secrets; all rows and columns are kept, and a column ``secrets`` is replaced.
     """
     thresholds = thresholds or THRESHOLDS
@@ -151,12 +183,26 @@ def scan(
 
     def judged(s: Column) -> Column:
         return F.struct(
-            s["start"].alias("start"), _entropy_range(s["found"], window, thresholds).alias("hit")
+            s["start"].alias("start"),
+            _entropy_range(s["found"], window, thresholds, by_part).alias("hit"),
         )
 
-    candidates = F.filter(
-        _spans(text, CANDIDATE), lambda s: ~s["found"].rlike(allowed) & ~s["found"].rlike(ALLOWED[2])
-    )
+    def pieces(s: Column) -> Column:
+        parts = F.filter(_spans(s["found"], PART, 1), lambda p: F.length(p["part"]) > 0)
+        return F.transform(
+            parts,
+            lambda p: F.struct(
+                (s["start"] + p["start"]).alias("start"), p["part"].alias("found")
+            ),
+        )
+
+    if by_part:
+        candidates = F.flatten(F.transform(_spans(text, RUN), pieces))
+    else:
+        candidates = F.filter(
+            _spans(text, CANDIDATE),
+            lambda s: ~s["found"].rlike(allowed) & ~s["found"].rlike(ALLOWED[2]),
+        )
     entropy = F.transform(
         F.filter(F.transform(candidates, judged), lambda s: s["hit"]["first"] >= 0),
         lambda s: F.struct(
