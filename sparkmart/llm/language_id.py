@@ -55,7 +55,7 @@ def _trigram_vectors(codes: np.ndarray, dimensions: int) -> np.ndarray:
 
 def _counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (text, trigram) with counts, and which texts have a letter."""
-    joined = "".join("\n" + (t or "") for t in texts) + "\n"
+    joined = "".join("\n" + (t or "") + "\n" for t in texts)  # both gaps are the text's own
     points = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
     slots = _slots()
     wide = points >= 1 << 16
@@ -63,8 +63,7 @@ def _counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     if wide.any():
         alpha = np.array([chr(p).isalpha() for p in points[wide].tolist()])
         slot[wide] = np.where(alpha, points[wide] % (_SLOTS - 1) + 1, _GAP)
-    owner = np.repeat(np.arange(len(texts)), [len(t or "") + 1 for t in texts])
-    owner = np.append(owner, len(texts) - 1)
+    owner = np.repeat(np.arange(len(texts)), [len(t or "") + 2 for t in texts])
     # runs of gaps count as one gap
     keep = np.ones(len(slot), bool)
     keep[1:] = (slot[1:] != _GAP) | (slot[:-1] != _GAP) | (owner[1:] != owner[:-1])
