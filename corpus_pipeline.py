@@ -15,15 +15,18 @@ VOCABULARY = "byte_bpe_50k.json"
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents in no language: a null text, or one without a letter.
+    """Rejects documents in no learned language: null, without a letter, or like none of them.
 
-    The model learns from the stage's own labelled rows, without the held-out quarter. With
-    no labelled rows nothing can be told apart, and the stage keeps whatever has a letter.
+    The model learns from the stage's own labelled rows, without the held-out quarter, which
+    sets the least cosine that a text must have. With no labelled rows nothing can be told
+    apart, and the stage keeps whatever has a letter. So it does with very short texts.
     """
     model = language_id.train(docs.where(~language_id.held_out()))
     if not model:
         return docs.where(F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
-    return language_id.label(docs, model).where(F.col("lang_pred") != "und").select(docs.columns)
+    least = language_id.least_score(docs, model)
+    known = ~language_id.long_enough() | (F.col("score") >= least)
+    return language_id.label(docs, model).where((F.col("lang_pred") != "und") & known).select(docs.columns)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
