@@ -30,14 +30,12 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest ``doc_id`` of each near-duplicate group.
+    """Keeps one document of each near-duplicate group, that of the smallest ``doc_id``.
 
-    Of repeated rows one stays. Rows without ``doc_id`` cannot stand for a group; they stay.
+    Rows are told apart by all their columns: of repeated rows one stays, and texts that share a
+    ``doc_id`` are judged one by one. Rows without ``doc_id`` stand for a group without others.
     """
-    linked = simhash.near_duplicates(docs, shingle=4, radius=4)
-    firsts = linked.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    return simhash.keep_one(docs, shingle=4, radius=4)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,7 +59,8 @@ def _fingerprints_of(shingle: int):
             )
             prints = _majority(hashes, count)
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "print"]
+                [piece.column(0), pa.array(prints.view(np.int64)), *piece.columns[2:]],
+                names=["doc_id", "print", *piece.schema.names[2:]],
             )
 
     return fingerprints
@@ -83,14 +84,15 @@ def _majority(hashes: np.ndarray, count: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """``doc_id`` and ``print`` (the 64 bits as a signed long) of every row of ``docs``.
+def fingerprints(docs: DataFrame, shingle: int = 4, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``print`` (the 64 bits as a signed long) and long ``keys`` of every row.
 
     A-Z are lower-cased; words are separated by ASCII white space. A text with fewer words
     than ``shingle`` is one shingle; null and empty texts have fingerprint zero.
     """
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _fingerprints_of(shingle), "doc_id long, print long"
+    schema = ", ".join(f"{name} long" for name in ("doc_id", "print", *keys))
+    return docs.select(F.col("doc_id").cast("long"), "text", *keys).mapInArrow(
+        _fingerprints_of(shingle), schema
     )
 
 
@@ -247,9 +249,36 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
     Repeated rows share a component. A null ``doc_id`` has the component of its
     fingerprint, null where no row in it has a ``doc_id``. Other columns are ignored.
     """
+    return _linked(docs, shingle, radius).select(
+        "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """One row of each component: of the smallest ``doc_id``, rows with a null one last.
+
+    Of rows with that ``doc_id`` the one with the smallest hash of all its columns stays, so
+    it is the same one in every run.
+    """
+    key = "_row_key"
+    keyed = docs.withColumn(key, F.xxhash64(*docs.columns))
+    firsts = (
+        _linked(keyed, shingle, radius, (key,))
+        .groupBy("component")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key)).alias("first"))
+        .select(F.col("first.doc_id").alias("first_id"), F.col(f"first.{key}").alias("first_key"))
+    )
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("first_id")) & (F.col(key) == F.col("first_key"))
+    return keyed.join(firsts, same, "left_semi").dropDuplicates(["doc_id", key]).drop(key)
+
+
+def _linked(
+    docs: DataFrame, shingle: int, radius: int, keys: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id``, ``keys``, ``print``, ``component`` (a print) and ``component_id`` of every row."""
     spark = docs.sparkSession
     folder = workspace(spark, "simhash")
-    prints = materialise(fingerprints(docs, shingle), f"{folder}/prints")
+    prints = materialise(fingerprints(docs, shingle, keys), f"{folder}/prints")
     nodes = materialise(
         prints.groupBy("print").agg(F.min("doc_id").alias("doc_id")), f"{folder}/nodes"
     )
@@ -260,7 +289,5 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
         .select("print", "doc_id", F.coalesce("component", "print").alias("component"))
     )
     least = label.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = label.join(least, "component").select("print", "component_id")
-    return prints.join(named, "print").select(
-        "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    named = label.join(least, "component").select("print", "component", "component_id")
+    return prints.join(named, "print")
