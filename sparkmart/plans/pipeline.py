@@ -6,6 +6,7 @@ Layout below the root: ``raw/<table>``, ``raw/state``, ``raw/audit``,
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Collection, Mapping
 from dataclasses import dataclass, replace
 from datetime import date, datetime, time
@@ -319,8 +320,11 @@ def run_increment(
 
     Members and days that the changes bring are added before the checks. Column and key
     checks read the rows that this load has brought; the daily job checks all. With ``as_of``
-    the freshness and the volume of that morning are checked as well.
+    the freshness and the volume of that morning are checked as well; a job should pass it,
+    as no other check sees that sales have stopped.
     """
+    if as_of is None:
+        warnings.warn("run_increment without as_of checks no freshness or volume", stacklevel=2)
     before = _position_before(wh, load_id)
     extract_changes(wh, log, load_id)
     merge_changes(wh, log.schema)
