@@ -24,15 +24,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def rows(df, *columns):
-    """Rows as a sorted list of tuples, NULLs first."""
-    picked = df.select(*columns) if columns else df
-    return sorted(
-        (tuple(r) for r in picked.collect()),
-        key=lambda r: tuple((v is not None, str(type(v)), v) for v in r),
-    )
-
-
 @pytest.fixture
 def table(tmp_path):
     """A fresh folder for a table."""

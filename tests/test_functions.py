@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from sparkmart.functions.decode import product_size, size_type, style

@@ -1,7 +1,7 @@
 import random
 from datetime import datetime
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import types as T
 
 from sparkmart.operators.staging import staged
