@@ -65,12 +65,17 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - counts), counts)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words, and the index of each text's first word (and the end)."""
+def words(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words, and the index of each text's first word (and the end).
+
+    ``between`` tells of each byte value whether it stands between words.
+    """
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    solid = ~_SPACE[data]
+    solid = ~between[data]
     joins = np.empty(len(data) + 1, bool)  # the byte before and the byte at i are one word
     joins[0] = joins[-1] = False
     np.logical_and(solid[1:], solid[:-1], out=joins[1:-1])

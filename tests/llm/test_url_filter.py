@@ -1,0 +1,87 @@
+"""URL filters against a plain reading of their rules."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from sparkmart.llm import url_filter as uf
+
+RULES = [
+    ("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
+    ("allow", "org/fr/"), ("block", "a.org/"), ("allow", "Sub.a.org/x"), ("allow", "b.org/q"),
+    ("block", "b.org/q"), ("block", "c.io"), ("allow", "/nohost"),
+]
+
+
+def plain(url, rules=RULES, vocabulary=uf.VOCABULARY, limit=uf.LIMIT):
+    lower = {c: c + 32 for c in range(65, 91)}
+    m = re.search(r"://([^/?#]*)([^?#]*)", url or "")
+    host, path = (m[1].translate(lower), m[2]) if m else ("", "")
+    fits = []
+    for action, rule in rules:
+        h, slash, rest = rule.partition("/")
+        h, p = h.translate(lower), slash + rest
+        if h and (host == h or host.endswith("." + h)) and path.startswith(p):
+            fits.append((len(h + p), len(h), action, h + p))
+    text = re.sub("%[0-9a-f]{2}", " ", (host + path).translate(lower))
+    found = {
+        t for t in vocabulary if re.search(rf"(?<![a-z0-9\x80-\U0010ffff]){re.escape(t)}(?![a-z0-9\x80-\U0010ffff])", text)
+    }
+    weight = sum(vocabulary[t] for t in found)
+    verdict = max(fits)[2] if fits else "block" if weight >= limit else "allow"
+    strict = sum(vocabulary[t] >= limit for t in found)
+    return host, path, max(fits)[3] if fits else None, verdict, strict, len(found) - strict
+
+
+def urls(seed, n):
+    rng = random.Random(seed)
+    hosts = ["example.net", "Www.Example.NET", "net", "xnet", "x.example.com", "a.org", "sub.a.org",
+             "b.org", "notb.org", "c.io", "casino.io", "free-bets.io", "essex.io", "freebets.io",
+             "é.casino.io", "écasino.io", "adult.io", "xxx", "a..net", "", "u:p@net:80"]
+    paths = ["", "/", "/en/1", "/EN/1", "/de/", "/fr/a", "/x", "/xy", "/q", "/free%20casino",
+             "/win/free/free", "/win", "/%E9porn", "/poker_win", "/ünude", "/sex-x"]
+    ends = ["", "?a=/casino", "#xxx", "?x#y", "#z?w"]
+    schemes = ["http://", "https://", "ftp://", "mailto:", "", "http://http://"]
+    return [
+        rng.choice(schemes) + rng.choice(hosts) + rng.choice(paths) + rng.choice(ends)
+        for _ in range(n)
+    ]
+
+
+@pytest.mark.parametrize("broadcast_rows", [uf.RULE_ROWS, 0])
+def test_matches_plain_reading(spark, broadcast_rows):
+    rows = [*enumerate(urls(3, 800)), (None, None), (7, "http://net/")]
+    df = spark.createDataFrame(rows, "page_id long, url string").repartition(4)
+    got = uf.judge(df, uf.rules_table(spark, RULES), broadcast_rows=broadcast_rows)
+    expected = sorted(((i, u, *plain(u)) for i, u in rows), key=str)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == expected
+    assert {r["verdict"] for r in got.collect()} == {"allow", "block"}
+
+
+def test_one_strict_or_two_different_soft_terms():
+    terms = uf.Terms(uf.VOCABULARY, uf.LIMIT)
+    assert terms.judge("casino.example") == (1, 0, True)
+    assert terms.judge("free-free-free.example") == (0, 1, False)
+    assert terms.judge("free-bets.example") == (0, 2, True)
+    assert terms.judge("freebets.essex.example") == (0, 0, False)
+    assert uf.Terms({}, 2).judge("casino") == (0, 0, False)
+
+
+def test_edges(spark):
+    schema = "page_id string, url string, host int, rule string, tags map<string,int>"
+    long = "http://" + "a." * 50_000 + "net/" + "x" * 100_000
+    rows = [("p", None, 1, "r", {"a": 1}), ("p", None, 1, "r", {"a": 1}), (None, "", None, None, None),
+            ("q", long, 2, "s", {})]
+    df = spark.createDataFrame(rows, schema)
+    for bound in (uf.RULE_ROWS, 0):
+        got = uf.judge(df, uf.rules_table(spark, RULES), broadcast_rows=bound)
+        assert got.columns[:3] == ["page_id", "url", "tags"]
+        assert sorted(((r["page_id"], r["rule"], r["verdict"], r["tags"]) for r in got.collect()), key=str) == sorted(
+            [("p", None, "allow", {"a": 1})] * 2 + [(None, None, "allow", None), ("q", "net/", "block", {})], key=str)
+    assert uf.judge(df.limit(0), uf.rules_table(spark, [])).collect() == []
+    named = df.select(F.col("url").alias("a.b"))
+    assert uf.judge(named, uf.rules_table(spark, []), column="a.b").count() == 4
