@@ -26,7 +26,7 @@ from sparkmart.operators.cdc import (
     read_since,
 )
 from sparkmart.operators.joins import lookup_join
-from sparkmart.operators.merge import KeyedTable
+from sparkmart.operators.merge import VersionedTable
 from sparkmart.operators.staging import staged
 from sparkmart.plans import dims, facts
 from sparkmart.plans.calendar import dim_calendar, spine_over
@@ -376,7 +376,7 @@ class Shop(Sources):
             staged("sales", self.raw_sales), self.dim_products, self.checkpoint_lsn
         )
 
-    def sales_table(self, path: str, delete_mode: str = "soft") -> KeyedTable:
+    def sales_table(self, path: str, delete_mode: str = "soft") -> VersionedTable:
         """A sales fact at ``path``, with files small enough to share out little data."""
         share = self.log_rows // 64
         return facts.sales_table(
@@ -396,7 +396,7 @@ class Shop(Sources):
         table.upsert(
             facts.sales_increment(increment, self.dim_products), keys_from=increment
         )
-        return table.read(self.spark).drop("bucket")
+        return table.read(self.spark).drop("bucket", "customer_reference")
 
     @cached_property
     def fct_returns(self) -> DataFrame:

@@ -494,10 +494,12 @@ def build() -> dict[str, str]:
         "strftime(ts, '%Y-%m-%d') AS archive, count(*) AS row_count FROM events GROUP BY ALL"
     )
     o["s9_load_audit"] = sql(
-        "SELECT 'day1' AS load_id, 'customers' AS schema_name, 'loaded' AS status, "
-        "count(*) AS row_count, 64::BIGINT AS hash_length FROM staged_customers UNION ALL "
-        "SELECT 'day1', 'products', 'loaded', count(*), 64 FROM staged_products UNION ALL "
-        "SELECT 'day1', 'returns', 'loaded', count(*), 64 FROM staged_returns"
+        "SELECT load_id, schema_name, 'loaded' AS status, row_count, 64::BIGINT AS hash_length, "
+        "schema_name <> 'products' AS same_schema, 3::BIGINT AS hashes "
+        "FROM (VALUES ('day1'), ('day2')) d(load_id), ("
+        "SELECT 'customers' AS schema_name, count(*) AS row_count FROM staged_customers UNION ALL "
+        "SELECT 'products', count(*) FROM staged_products UNION ALL "
+        "SELECT 'returns', count(*) FROM staged_returns)"
     )
     o["s13_date_spine"] = rows("full_date:varchar", "spine")
     current = (
@@ -534,6 +536,10 @@ def build() -> dict[str, str]:
         "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, "
         "lpad(lower(to_hex(l_orderkey)), 20, '0') AS position FROM lineitem"
     )
+    o["t2_job_checks"] = sql(
+        f"SELECT * FROM ({_check_rows()}) "
+        "WHERE name LIKE 'fct_sales.%' OR name = 'fct_returns.after_first_order'"
+    )
     o["t2_job_calendar"] = rows("full_date:varchar", "spine")
     o["t2_job_customers"] = sql(
         "SELECT customer_key, FALSE AS is_inferred FROM staged_customers UNION ALL SELECT -1, FALSE"
@@ -596,6 +602,10 @@ def build() -> dict[str, str]:
     o["m7_repair_keys"] = sql(
         "SELECT order_number, order_line_item, coalesce(customer_key, -1) AS customer_key FROM current_sales"
     )
+    o["m7_repair_stored_fact"] = sql(
+        "SELECT order_number, order_line_item, coalesce(customer_key, -1) AS customer_key, "
+        "is_deleted, lsn FROM latest"
+    )
     o["m8_dim_products"] = rows(_DIM_PRODUCT, _priced("dim_products"))
     o["m9_sales_base"] = sql(
         """SELECT s.order_number, s.order_line_item, s.order_date_key, s.stock_date_key,

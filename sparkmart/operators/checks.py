@@ -126,16 +126,20 @@ def stale(df: DataFrame, day_key: str, as_of: date) -> DataFrame:
     return newest.where(F.col("latest_day_key").isNull() | (F.col("latest_day_key") < yesterday))
 
 
-def volume_stats(df: DataFrame, day: str, as_of: date) -> DataFrame:
+def volume_stats(
+    df: DataFrame, day: str, as_of: date, rows: str | None = None
+) -> DataFrame:
     """Rows of yesterday against the mean of the days present in the week before.
 
-    ``day`` is a date column. A missing yesterday counts as zero.
+    ``day`` is a date column. A missing yesterday counts as zero. ``rows`` names a column with
+    the number of rows each row of ``df`` stands for.
     """
+    number = F.count(F.lit(1)) if rows is None else F.sum(rows)
     yesterday = F.lit(as_of - timedelta(days=1))
     daily = (
         df.where(F.col(day).between(F.lit(as_of - timedelta(days=8)), yesterday))
         .groupBy(day)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        .agg(number.alias("_rows"))
     )
     return daily.agg(
         F.coalesce(F.max(F.when(F.col(day) == yesterday, F.col("_rows"))), F.lit(0)).alias(
@@ -149,10 +153,15 @@ def volume_stats(df: DataFrame, day: str, as_of: date) -> DataFrame:
 
 
 def volume_anomaly(
-    df: DataFrame, day: str, as_of: date, low: float = 0.3, high: float | None = None
+    df: DataFrame,
+    day: str,
+    as_of: date,
+    low: float = 0.3,
+    high: float | None = None,
+    rows: str | None = None,
 ) -> DataFrame:
     """One row if yesterday's volume is out of bounds, or nothing is there to compare."""
-    stats = volume_stats(df, day, as_of)
+    stats = volume_stats(df, day, as_of, rows)
     off = (
         F.col("usual_rows").isNull()
         | (F.col("yesterday_rows") < F.col("usual_rows") * low)

@@ -14,7 +14,7 @@ row keeps its key and position alone, and no reader sees it.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 
 from sparkmart.functions.keys import UNKNOWN_KEY
 from sparkmart.operators.joins import lookup_join
-from sparkmart.sources.files import exists, remove
+from sparkmart.sources import versions
+from sparkmart.sources.files import children, exists, remove
 
 BUCKET = "bucket"
 
@@ -133,14 +134,19 @@ class KeyedTable:
         ``keys_from`` is as for ``upsert``.
         """
         sizes = self._sizes(rows if keys_from is None else keys_from)
+        self._store(self._clustered(self._bucketed(rows), sizes).drop("_part"), None)
+
+    def _store(self, rows: DataFrame, touched: list[int] | None) -> None:
+        """Let ``rows`` take the place of the ``touched`` buckets, or of the whole table."""
+        target = self.path if touched is None else self._staged
         (
-            self._clustered(self._bucketed(rows), sizes)
-            .drop("_part")
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy(BUCKET)
-            .parquet(self.path)
+            .parquet(target)
         )
+        if touched is not None:
+            self._publish(rows.sparkSession)
 
     def upsert(
         self, events: DataFrame, keys_from: DataFrame | None = None, *, corrects: bool = False
@@ -185,13 +191,7 @@ class KeyedTable:
             .where(F.col("_rank") == 1)
             .drop("_rank", "_part", "_new")
         )
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(BUCKET)
-            .parquet(self._staged)
-        )
-        self._publish(spark)
+        self._store(merged, touched)
 
     def recover(self, spark: SparkSession) -> bool:
         """Finish an upsert that was cut off after its result was complete."""
@@ -212,6 +212,162 @@ class KeyedTable:
         remove(spark, self._staged)
 
 
+@dataclass(frozen=True)
+class Summary:
+    """Something known of every bucket: per ``key`` the least ``value`` and how many rows.
+
+    Only rows with ``condition`` and a key that is not NULL count.
+    """
+
+    name: str
+    condition: Column
+    key: Column
+    value: Column
+
+
+@dataclass(frozen=True)
+class Waiting:
+    """Rows whose ``key`` is the ``unknown`` one wait for what their ``reference`` names."""
+
+    name: str
+    reference: str
+    key: str
+    unknown: object
+
+    @property
+    def summary(self) -> Summary:
+        condition = F.col(self.key) == F.lit(self.unknown)
+        return Summary(self.name, condition, F.col(self.reference), F.lit(0))
+
+
+@dataclass(frozen=True)
+class VersionedTable(KeyedTable):
+    """A keyed table published by version: see ``sources.versions``.
+
+    An upsert writes the buckets it touches to a folder of their own, once, and a pointer then
+    lets them take the place of the old ones. Readers see the version before or the one after.
+
+    With each folder go ``summaries`` of its buckets, made in one pass over the columns they
+    need of what was just written. A bucket is replaced together with its summary, so the table's
+    is always that of its live buckets, whatever came, went or was deleted; no one has to read
+    the table for it. ``waiting`` gives one such summary per rule: ``waiting_rows`` reads only
+    buckets that hold rows to repair. With ``number`` set the table is that version, to be read
+    only.
+    """
+
+    waiting: tuple[Waiting, ...] = ()
+    summaries: tuple[Summary, ...] = ()
+    number: int | None = None
+
+    _SUMMARY = "name string, key string, least bigint, n bigint, bucket bigint"
+
+    def at(self, number: int) -> VersionedTable:
+        return replace(self, number=number)
+
+    def version(self, spark: SparkSession) -> versions.Version | None:
+        if self.number is not None:
+            return versions.load(spark, self.path, self.number)
+        return versions.current(spark, self.path)
+
+    def _rows(self, spark: SparkSession) -> DataFrame:
+        found = self.version(spark)
+        parts = found.parts if found else ()
+        return versions.read_parts(spark, self.path, self._stored, parts, BUCKET)
+
+    def recover(self, spark: SparkSession) -> bool:
+        """Nothing to finish: what no pointer names was never part of the table."""
+        return False
+
+    def _store(self, rows: DataFrame, touched: list[int] | None) -> None:
+        if self.number is not None:
+            raise ValueError("a given version can only be read")
+        spark, before = rows.sparkSession, versions.current(rows.sparkSession, self.path)
+        folder = versions.fresh_folder()
+        rows.write.partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
+        names = children(spark, f"{self.path}/{folder}")
+        written = tuple(
+            sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{BUCKET}="))
+        )
+        part = versions.Part(folder, written, len(written))
+        self._summarise(spark, part)
+        parts = [part] if written else []
+        if touched is not None and before is not None:
+            gone = {*touched}
+            left = (
+                replace(p, buckets=tuple(b for b in p.buckets if b not in gone))
+                for p in before.parts
+            )
+            parts = [p for p in left if p.buckets] + parts
+        versions.publish(spark, self.path, self._stored, parts, before.number if before else 0)
+
+    def _summarise(self, spark: SparkSession, part: versions.Part) -> None:
+        rules = [w.summary for w in self.waiting] + list(self.summaries)
+        if not rules or not part.written:
+            return
+        rows = versions.read_parts(spark, self.path, self._stored, [part], BUCKET)
+        entries = F.array(
+            *[
+                F.when(
+                    r.condition & r.key.isNotNull(),
+                    F.struct(
+                        F.lit(r.name).alias("name"),
+                        r.key.cast("string").alias("key"),
+                        r.value.cast("bigint").alias("value"),
+                    ),
+                )
+                for r in rules
+            ]
+        )
+        (
+            rows.select(BUCKET, F.inline(F.array_compact(entries)))
+            .groupBy("name", "key", BUCKET)
+            .agg(F.min("value").alias("least"), F.count(F.lit(1)).alias("n"))
+            .select("name", "key", "least", "n", BUCKET)
+            .write.parquet(f"{self.path}/_summary/{part.folder}")
+        )
+
+    def summary(self, spark: SparkSession, name: str) -> DataFrame:
+        """key, least, n and bucket of the live buckets; keys are text."""
+        found = self.version(spark)
+        parts = [p for p in found.parts if p.buckets] if found else []
+        if not parts:
+            return spark.createDataFrame([], self._SUMMARY).drop("name")
+        base = f"{self.path}/_summary"
+        rows = (
+            spark.read.schema(self._SUMMARY)
+            .option("basePath", base)
+            .parquet(*[f"{base}/{p.folder}" for p in parts])
+            .where(F.col("name") == name)
+            .withColumn("_folder", F.concat(F.lit("_gen="), F.col("_gen")))
+        )
+        columns = ["key", "least", "n", BUCKET]
+        whole = rows.where(
+            F.col("_folder").isin([p.folder for p in parts if len(p.buckets) == p.written])
+        )
+        # One pair per bucket, of the folders that newer ones have replaced in part.
+        pairs = [(p.folder, b) for p in parts if len(p.buckets) < p.written for b in p.buckets]
+        some = spark.createDataFrame(pairs, f"_folder string, {BUCKET} bigint")
+        partly = rows.join(F.broadcast(some), ["_folder", BUCKET])
+        return whole.select(*columns).unionByName(partly.select(*columns))
+
+    def waiting_rows(
+        self, spark: SparkSession, name: str, references: DataFrame
+    ) -> DataFrame | None:
+        """The rows that wait for one of ``references`` (and others of their buckets that wait).
+
+        None if there are none. ``references`` has one column. What reaches the driver is one number per bucket.
+        """
+        rule = next(w for w in self.waiting if w.name == name)
+        known = references.toDF("key").select(F.col("key").cast("string")).distinct()
+        index = self.summary(spark, name).select("key", BUCKET)
+        found = lookup_join(index, known, ["key"], "left_semi").select(BUCKET).distinct()
+        buckets = [r[0] for r in found.collect()]
+        if not buckets:
+            return None
+        rows = self.read(spark).where(F.col(BUCKET).isin(buckets))
+        return rows.where(F.col(rule.key) == F.lit(rule.unknown)).drop(BUCKET)
+
+
 def repair_keys(
     fact: DataFrame,
     dim: DataFrame,

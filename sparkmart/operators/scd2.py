@@ -8,13 +8,17 @@ Columns that are not checked keep the value they had when the version was opened
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.functions.keys import BEGINNING_OF_TIME, date_key, version_id
 from sparkmart.operators.joins import ROWS_PER_TASK
 from sparkmart.operators.neighbours import plan_stretches, with_neighbours
+from sparkmart.sources import versions
+from sparkmart.sources.files import children
 
 #: Columns a history has on top of those of its source.
 META = ("version_key", "updated_at", "valid_from", "valid_to")
@@ -111,6 +115,70 @@ def apply(
     return closed.select(*current.columns).unionByName(merged)
 
 
+@dataclass(frozen=True)
+class History:
+    """A stored history at ``path``: closed versions are written once, open ones every day.
+
+    Each observation is a version of the table (see ``sources.versions``) that names the folders
+    of closed versions so far and one folder of open ones. A day reads and writes the open
+    versions alone, so its cost follows the number of keys and not the length of the history.
+    """
+
+    path: str
+    key: str
+    check_cols: tuple[str, ...]
+
+    def before(self, spark: SparkSession, day: str) -> versions.Version | None:
+        """The state that the observation of ``day`` builds on: the newest of an earlier day."""
+        folder = f"{self.path}/{versions.POINTERS}"
+        found = [versions.load(spark, self.path, n) for n in versions.numbers(spark, folder)]
+        earlier = [v for v in found if v.label < day]
+        return max(earlier, key=lambda v: (v.label, v.number), default=None)
+
+    def read(self, spark: SparkSession, number: int | None = None) -> DataFrame:
+        return versions.read(spark, self.path, number)
+
+    def observe(
+        self, incoming: DataFrame, as_of: date, *, invalidate_missing: bool = False
+    ) -> versions.Version:
+        """Extend the history by what the source showed on ``as_of``.
+
+        Running a day again builds on the day before it and gives the same history.
+        """
+        spark, day = incoming.sparkSession, as_of.isoformat()
+        previous = self.before(spark, day)
+        newest = versions.numbers(spark, f"{self.path}/{versions.POINTERS}")
+        if previous is None:
+            current, closed = empty_history(incoming), []
+        else:
+            open_ = [p for p in previous.parts if p.kind == "open"]
+            closed = [p for p in previous.parts if p.kind == "closed"]
+            current = versions.read_parts(spark, self.path, previous.schema, open_)
+        seen = apply(
+            current,
+            incoming,
+            self.key,
+            self.check_cols,
+            F.lit(as_of),
+            invalidate_missing=invalidate_missing,
+        )
+        folder = versions.fresh_folder()
+        kind = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
+        (
+            seen.withColumn("_state", kind)
+            .write.partitionBy("_state")
+            .parquet(f"{self.path}/{folder}")
+        )
+        written = children(spark, f"{self.path}/{folder}")
+        parts = closed + [
+            versions.Part(f"{folder}/_state={k}", kind=k)
+            for k in ("closed", "open")
+            if f"_state={k}" in written
+        ]
+        after = newest[-1] if newest else 0
+        return versions.publish(spark, self.path, current.schema, parts, after, day)
+
+
 def empty_history(incoming: DataFrame, ts_type: str = "date") -> DataFrame:
     """A history without versions, shaped like ``incoming``, to ``apply`` the first load to."""
     ts = F.lit(None).cast(ts_type)

@@ -16,13 +16,15 @@ class Field:
     """One staged column: its name, type and the raw column it comes from.
 
     The type ``date_key`` turns a date into an integer day key. A lenient field gives NULL
-    for what cannot be cast, where the others fail the job.
+    for what cannot be cast, where the others fail the job. An optional one is left out where
+    the raw table does not have it.
     """
 
     name: str
     type: str
     source: str | None = None
     lenient: bool = False
+    optional: bool = False
 
     def column(self) -> Column:
         raw = F.col(self.source or self.name)
@@ -33,7 +35,9 @@ class Field:
 
 def conform(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Cast and rename; columns that are not listed are dropped before they are read."""
-    return df.select(*[f.column() for f in fields])
+    return df.select(
+        *[f.column() for f in fields if not f.optional or (f.source or f.name) in df.columns]
+    )
 
 
 MONEY = "decimal(18,2)"
@@ -52,6 +56,7 @@ CUSTOMERS = (
     Field("education_level", "string"),
     Field("occupation", "string"),
     Field("home_owner", "string"),
+    Field("customer_reference", "string", optional=True),
 )
 PRODUCT_CATEGORIES = (
     Field("product_category_key", "bigint"),
@@ -90,6 +95,7 @@ SALES = (
     Field("customer_key", "bigint"),
     Field("territory_key", "bigint"),
     Field("order_quantity", "bigint"),
+    Field("customer_reference", "string", optional=True),
 )
 SALES_LOG = (
     *SALES,

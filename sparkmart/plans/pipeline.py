@@ -1,7 +1,12 @@
 """The jobs that keep a warehouse folder up to date.
 
-Layout below the root: ``raw/<table>``, ``raw/state``, ``raw/audit``,
-``snapshots/products/as_of=<day>``, ``quarantine/products``, ``marts/<table>``.
+Layout below the root: ``raw/<table>``, ``raw/state``, ``raw/audit``, ``snapshots/products``,
+``quarantine/products``, ``marts/<table>``.
+
+A job writes, checks, and only then lets readers see: tables are published by version, and
+``marts/_releases`` names the versions that belong together. Readers take the tables of the last
+release (``star``, ``mart``); a job works on the newest ones (``draft``). Where a check fails, or
+a job is cut off, the release stays what it was.
 """
 
 from __future__ import annotations
@@ -17,12 +22,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart.operators import cdc, checks, quality, scd2
-from sparkmart.operators.merge import KeyedTable
+from sparkmart.operators.merge import VersionedTable
 from sparkmart.operators.staging import staged
 from sparkmart.plans import dims, facts, star
 from sparkmart.plans.calendar import dim_calendar, key_to_date, spine_over
-from sparkmart.session import materialise, workspace
-from sparkmart.sources.files import children, exists
+from sparkmart.sources import versions
+from sparkmart.sources.files import exists
 from sparkmart.sources.loads import audit, load_append, load_replace, read_loads, table_path
 from sparkmart.streaming.cdc_stream import cdc_to_fact, read_log_stream
 
@@ -36,6 +41,15 @@ DAILY_TABLES = (
     "territories",
 )
 SALES_SOURCE = "sales_log"
+#: The tables a release holds.
+STAR_TABLES = (
+    "dim_calendar",
+    "dim_customers",
+    "dim_products",
+    "dim_territories",
+    "fct_returns",
+    "fct_sales",
+)
 
 
 @dataclass(frozen=True)
@@ -47,34 +61,79 @@ class Warehouse:
         return table_path(self.root, layer, name)
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("raw", name))
+        return versions.read(self.spark, self.path("raw", name))
 
     def staged(self, name: str) -> DataFrame:
         return staged(name, self.raw(name))
 
     def mart(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("marts", name))
+        """A dimension or the returns as readers see them."""
+        number = versions.released(self.spark, self.path("marts", ""))[name]
+        return versions.read(self.spark, self.path("marts", name), number)
+
+    def draft(self, name: str) -> DataFrame:
+        """A dimension or the returns as a job has written them last."""
+        return versions.read(self.spark, self.path("marts", name))
+
+    def write(self, name: str, df: DataFrame) -> None:
+        versions.replace(df, self.path("marts", name))
 
     @property
-    def sales(self) -> KeyedTable:
+    def sales(self) -> VersionedTable:
+        """The sales fact, as a job has written it last."""
         return facts.sales_table(self.path("marts", "fct_sales"))
 
-    def star(self) -> star.Star:
+    @property
+    def history(self) -> scd2.History:
+        return scd2.History(self.path("snapshots", "products"), "product_key", dims.TRACKED)
+
+    def star(self, *, draft: bool = False) -> star.Star:
+        """The tables that readers see or, with ``draft``, those of the job under way.
+
+        A job's star has the fact's summaries too, for the checks.
+        """
+        sales, read = self.sales, self.draft
+        if not draft:
+            seen = versions.released(self.spark, self.path("marts", ""))
+            sales, read = sales.at(seen["fct_sales"]), self.mart
         return star.Star(
-            calendar=self.mart("dim_calendar"),
-            customers=self.mart("dim_customers"),
-            products=self.mart("dim_products"),
-            territories=self.mart("dim_territories"),
-            sales=self.sales.read(self.spark),
-            returns=self.mart("fct_returns"),
+            calendar=read("dim_calendar"),
+            customers=read("dim_customers"),
+            products=read("dim_products"),
+            territories=read("dim_territories"),
+            sales=sales.read(self.spark),
+            returns=read("fct_returns"),
+            first_orders=facts.first_orders(sales, self.spark) if draft else None,
+            order_days=facts.order_days(sales, self.spark) if draft else None,
         )
 
+    def release(self) -> None:
+        """Let readers see the newest version of every table, all at once."""
+        marts = self.path("marts", "")
+        found = {}
+        for name in STAR_TABLES:
+            done = versions.numbers(self.spark, f"{marts}{name}/{versions.POINTERS}")
+            if done:
+                found[name] = done[-1]
+        if found != versions.released(self.spark, marts):
+            versions.release(self.spark, marts, found)
+
+    def vacuum(self) -> None:
+        """Delete what neither a job nor readers of the last two releases need."""
+        marts = self.path("marts", "")
+        kept = versions.releases(self.spark, marts)[-2:]
+        for name in STAR_TABLES:
+            keep = [r[name] for r in kept if name in r]
+            versions.vacuum(self.spark, f"{marts}{name}", keep)
+        for name in (*DAILY_TABLES, "sales"):
+            versions.vacuum(self.spark, self.path("raw", name))
+
 
 def _load(
     wh: Warehouse, sources: Mapping[str, DataFrame], names: tuple[str, ...], load_id: str
 ) -> None:
     for name in names:
-        load_replace(sources[name], wh.path("raw", name))
+        versions.replace(sources[name], wh.path("raw", name))
     audit(wh.path("raw", "audit"), load_id, "loaded", {name: wh.raw(name) for name in names})
 
 
@@ -85,36 +144,23 @@ def _run_checks(
     gated: bool,
     accepted: Collection[str],
 ) -> DataFrame:
-    """Run the checks once, keep their results, and raise if one fails."""
+    """Run the checks once, keep their results, raise if one fails, else release the tables."""
     path = wh.path("raw", "check_results")
     load_append(checks.run(rules), path, load_id)
     results = read_loads(wh.spark, path).where(F.col("load_id") == load_id).drop("load_id")
     if gated:
         checks.gate(results, accepted)
+    wh.release()
     return results
 
 
 def snapshot_products(wh: Warehouse, as_of: date) -> DataFrame:
-    """Judge today's products, store the rejected ones, extend the history by the rest.
-
-    Each day's history has a folder of its own, built on the newest one before it, so
-    running a day again gives the same history.
-    """
-    folder = wh.path("snapshots", "products")
+    """Judge today's products, store the rejected ones, extend the history by the rest."""
     good, bad = quality.split(
         wh.staged("products"), dims.product_rules(), datetime.combine(as_of, time())
     )
     load_replace(bad, wh.path("quarantine", "products"))
-    earlier = [d for d in children(wh.spark, folder) if f"as_of={as_of}" > d >= "as_of="]
-    if earlier:
-        previous = wh.spark.read.parquet(f"{folder}/{max(earlier)}")
-    else:
-        previous = scd2.empty_history(good)
-    today = f"{folder}/as_of={as_of}"
-    load_replace(
-        scd2.apply(previous, good, "product_key", dims.TRACKED, F.lit(as_of)), today
-    )
-    return wh.spark.read.parquet(today)
+    return wh.history.read(wh.spark, wh.history.observe(good, as_of).number)
 
 
 def refresh_dimensions(
@@ -132,30 +178,30 @@ def refresh_dimensions(
     _load(wh, sources, DAILY_TABLES, load_id)
     _build_dimensions(wh, as_of)
     repair_sales(wh)
-    tables = wh.star()
+    tables = wh.star(draft=True)
     rules = (
         star.dimension_checks(tables, as_of)
         + star.returns_checks(tables)
         + star.sales_checks(tables)
     )
-    return _run_checks(wh, rules, load_id, gated, accepted)
+    results = _run_checks(wh, rules, load_id, gated, accepted)
+    wh.vacuum()
+    return results
 
 
 def _build_dimensions(wh: Warehouse, as_of: date) -> None:
     history = snapshot_products(wh, as_of)
-    load_replace(facts.returns(wh.staged("returns")), wh.path("marts", "fct_returns"))
+    wh.write("fct_returns", facts.returns(wh.staged("returns")))
     sales = wh.sales.read(wh.spark)
-    baseline = wh.staged("sales") if exists(wh.spark, wh.path("raw", "sales")) else sales
-    returned = wh.mart("fct_returns")
-    versions = dims.products(
+    loaded = versions.published(wh.spark, wh.path("raw", "sales"))
+    baseline = wh.staged("sales") if loaded else sales
+    returned = wh.draft("fct_returns")
+    dated = dims.products(
         history, wh.staged("product_subcategories"), wh.staged("product_categories")
     )
     sold = baseline.select("product_key").unionByName(sales.select("product_key"))
     known = sold.unionByName(returned.select("product_key"))
-    load_replace(
-        versions.unionByName(dims.pending_products(versions, known)),
-        wh.path("marts", "dim_products"),
-    )
+    wh.write("dim_products", dated.unionByName(dims.pending_products(dated, known)))
     _complete_members(wh, baseline, sales)
     days = [(wh.spark.range(1).select(F.lit(as_of).alias("day")), "day")]
     days += [
@@ -167,33 +213,32 @@ def _build_dimensions(wh: Warehouse, as_of: date) -> None:
         )
         for c in columns
     ]
-    load_replace(dim_calendar(spine_over(days)), wh.path("marts", "dim_calendar"))
+    wh.write("dim_calendar", dim_calendar(spine_over(days)))
 
 
 def repair_sales(wh: Warehouse) -> None:
-    """Point sales that came before their product to its version, in their buckets only."""
-    found = facts.late_versions(wh.sales.read(wh.spark), wh.mart("dim_products"))
-    repaired = materialise(found, workspace(wh.spark, "repaired-sales"))
-    wh.sales.upsert(repaired, corrects=True)
+    """Point sales that came before their product or their customer to it."""
+    facts.repair_products(wh.sales, wh.draft("dim_products"))
+    facts.repair_customers(wh.sales, wh.staged("customers"))
 
 
 def _complete_members(wh: Warehouse, baseline: DataFrame, sales: DataFrame) -> None:
     """Customers and territories, completed by the keys that sales and returns use."""
-    load_replace(
+    wh.write(
+        "dim_customers",
         dims.customers(
-            wh.staged("customers"),
+            wh.staged("customers").drop("customer_reference"),
             baseline.select("customer_key").unionByName(sales.select("customer_key")),
         ),
-        wh.path("marts", "dim_customers"),
     )
-    load_replace(
+    wh.write(
+        "dim_territories",
         dims.territories(
             wh.staged("territories"),
             baseline.select("territory_key")
             .unionByName(sales.select("territory_key"))
-            .unionByName(wh.mart("fct_returns").select("territory_key")),
+            .unionByName(wh.draft("fct_returns").select("territory_key")),
         ),
-        wh.path("marts", "dim_territories"),
     )
 
 
@@ -225,9 +270,10 @@ def bootstrap(
     _build_dimensions(wh, as_of)
     baseline = wh.staged("sales")
     wh.sales.replace(
-        facts.sales_base(baseline, wh.mart("dim_products"), lsn), keys_from=baseline
+        facts.sales_base(baseline, wh.draft("dim_products"), lsn), keys_from=baseline
     )
-    tables = wh.star()
+    repair_sales(wh)
+    tables = wh.star(draft=True)
     rules = (
         star.dimension_checks(tables, as_of)
         + star.returns_checks(tables)
@@ -266,7 +312,7 @@ def merge_changes(wh: Warehouse, schema: T.StructType) -> StreamingQuery | None:
         return None
     query = cdc_to_fact(
         read_log_stream(wh.spark, log_path, schema),
-        lambda spark: spark.read.parquet(wh.path("marts", "dim_products")),
+        lambda spark: versions.read(spark, wh.path("marts", "dim_products")),
         wh.sales,
         wh.path("raw", "sales_log_checkpoint"),
     )
@@ -288,23 +334,23 @@ def extend_dimensions(wh: Warehouse, schema: T.StructType, load_id: str) -> None
         (events.select(key_to_date(F.col(c)).alias("day")), "day")
         for c in ("order_date_key", "stock_date_key")
     ]
-    calendar = wh.mart("dim_calendar")
+    calendar = wh.draft("dim_calendar")
     spine = spine_over([(calendar, "full_date"), *days])
     additions = {
         "dim_customers": dims.pending_customers(
-            wh.mart("dim_customers"), events.select("customer_key")
+            wh.draft("dim_customers"), events.select("customer_key")
         ),
         "dim_territories": dims.pending_territories(
-            wh.mart("dim_territories"), events.select("territory_key")
+            wh.draft("dim_territories"), events.select("territory_key")
         ),
         "dim_products": dims.pending_products(
-            wh.mart("dim_products"), events.select("product_key")
+            wh.draft("dim_products"), events.select("product_key")
         ),
         "dim_calendar": dim_calendar(spine.join(calendar, "full_date", "left_anti")),
     }
     for name, rows in additions.items():
         if not rows.isEmpty():
-            rows.write.mode("append").parquet(wh.path("marts", name))
+            versions.append(rows, wh.path("marts", name))
 
 
 def run_increment(
@@ -329,7 +375,8 @@ def run_increment(
     extract_changes(wh, log, load_id)
     merge_changes(wh, log.schema)
     extend_dimensions(wh, log.schema, load_id)
-    tables = wh.star()
+    repair_sales(wh)
+    tables = wh.star(draft=True)
     brought = replace(tables, sales=tables.sales.where(F.col("lsn") > before))
     rules = [*star.sales_checks(brought), star.return_order_check(tables)]
     if as_of is not None:
