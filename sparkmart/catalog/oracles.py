@@ -515,6 +515,7 @@ def build() -> dict[str, str]:
         UNION ALL SELECT 4, n.* FROM staged_sales o JOIN {current} n ON {same_key}
                   WHERE o IS DISTINCT FROM n"""
     )
+    o["s14_stored_snapshot_diff"] = o["s14_snapshot_diff"]
 
     # Staging and expressions.
     o["p1_staged_customers"] = rows(f"{_CUSTOMER} home_owner", "staged_customers")
@@ -558,6 +559,7 @@ def build() -> dict[str, str]:
     )
     o["j1_asof_join"] = asof
     o["j1_asof_join_salted"] = asof
+    o["j1_asof_join_merged"] = asof
     o["j2_flatten_categories"] = sql(
         "SELECT product_subcategory_key, subcategory_name, c.product_category_key::BIGINT AS "
         "product_category_key, category_name FROM subcategories s LEFT JOIN categories c "
@@ -736,7 +738,41 @@ def build() -> dict[str, str]:
         "WHERE NOT is_deleted GROUP BY 1 ORDER BY gross_margin DESC, 1"
     )
 
+    o["a7_revenue_trend"] = sql(
+        """SELECT strftime(month, '%Y-%m-%d') AS month, units, cents / 100.0::DOUBLE AS revenue,
+               (cents - lag(cents) OVER w) / 100.0::DOUBLE AS month_over_month,
+               round((cents / 100.0::DOUBLE / nullif(lag(cents) OVER w / 100.0::DOUBLE, 0) - 1) * 100, 2)
+                 AS month_over_month_pct,
+               (cents - lag(cents, 12) OVER w) / 100.0::DOUBLE AS year_over_year,
+               round((cents / 100.0::DOUBLE / nullif(lag(cents, 12) OVER w / 100.0::DOUBLE, 0) - 1) * 100, 2)
+                 AS year_over_year_pct
+        FROM (SELECT month, coalesce(units, 0) AS units, coalesce(cents, 0) AS cents
+              FROM (SELECT unnest(generate_series(min(m), max(m), INTERVAL 1 MONTH))::DATE AS month
+                    FROM (SELECT strptime((order_date_key // 100)::BIGINT || '01', '%Y%m%d') AS m
+                          FROM fct_sales WHERE NOT is_deleted))
+              LEFT JOIN (
+                SELECT strptime((order_date_key // 100)::BIGINT || '01', '%Y%m%d')::DATE AS month,
+                       sum(order_quantity)::BIGINT AS units,
+                       sum(order_quantity * price_cents)::BIGINT AS cents
+                FROM fct_sales s LEFT JOIN dim_products p ON p.product_scd_key = s.product_scd_key
+                WHERE NOT is_deleted GROUP BY 1) USING (month))
+        WINDOW w AS (ORDER BY month)"""
+    )
+    o["a8_customer_segments"] = sql(
+        """SELECT customer_key, recency_days, frequency, value,
+               ntile(5) OVER (ORDER BY recency_days DESC, customer_key) AS recency_score,
+               ntile(5) OVER (ORDER BY frequency, customer_key) AS frequency_score,
+               ntile(5) OVER (ORDER BY value, customer_key) AS value_score
+        FROM (SELECT customer_key, date_diff('day', strptime(max(order_date_key)::BIGINT::VARCHAR,
+                       '%Y%m%d')::DATE, DATE '2001-08-02') AS recency_days,
+                     count(DISTINCT order_number) AS frequency,
+                     coalesce(sum(order_quantity * price_cents), 0)::BIGINT / 100.0::DOUBLE AS value
+              FROM fct_sales s LEFT JOIN dim_products p ON p.product_scd_key = s.product_scd_key
+              WHERE NOT is_deleted AND customer_key <> -1 GROUP BY 1)"""
+    )
+
     # Streaming and jobs.
+    o["t3_compacted_increments"] = rows(_FACT, "fct_replayed WHERE NOT is_deleted")
     o["t1_cdc_stream"] = rows(_FACT, "fct_replayed")
     o["t2_warehouse_jobs"] = rows(_FACT, "fct_sales")
     o["t3_out_of_order_increments"] = rows(_FACT, "fct_replayed")

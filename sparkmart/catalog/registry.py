@@ -17,7 +17,7 @@ from sparkmart.catalog.derive import LAST_BASELINE_DAY, OBSERVATIONS, Shop, shop
 from sparkmart.functions.decode import product_size, size_type, style
 from sparkmart.functions.keys import UNKNOWN_KEY, date_key, version_id
 from sparkmart.operators import cdc, checks, scd2
-from sparkmart.operators.asof import asof_join
+from sparkmart.operators.asof import asof_join, asof_merge
 from sparkmart.operators.joins import lookup_join
 from sparkmart.operators.merge import repair_keys
 from sparkmart.operators.staging import staged
@@ -195,6 +195,18 @@ def _(s: Shop) -> DataFrame:
     return cdc.snapshot_diff(baseline, current.select(*baseline.columns), facts.SALES_KEYS)
 
 
+@query("s14_stored_snapshot_diff")
+def _(s: Shop) -> DataFrame:
+    """Both snapshots stored with checksums by bucket; only buckets that differ are compared."""
+    current = cdc.latest_state(s.staged_log, facts.SALES_KEYS).where(~F.col("is_deleted"))
+    baseline = staged("sales", s.raw_sales)
+    old, new = _scratch(s, "snapshot-old"), _scratch(s, "snapshot-new")
+    buckets = max(16, s.log_rows // 1_000_000)
+    cdc.store_snapshot(baseline, old, facts.SALES_KEYS, buckets)
+    cdc.store_snapshot(current.select(*baseline.columns), new, facts.SALES_KEYS, buckets)
+    return cdc.stored_diff(s.spark, old, new, facts.SALES_KEYS)
+
+
 # Staging and expressions.
 
 
@@ -291,6 +303,22 @@ def _(s: Shop) -> DataFrame:
     return _asof(s, broadcast_rows=0, rows_per_task=max(1, s.log_rows // 2000))
 
 
+@query("j1_asof_join_merged")
+def _(s: Shop) -> DataFrame:
+    """The way for keys with many versions: one sorted stream per key, hot ones in stretches."""
+    log = s.staged_log.select(
+        "order_number", "order_line_item", "op", "lsn", "seqval", "product_key", "order_date_key"
+    )
+    return asof_merge(
+        log,
+        s.dim_products,
+        "product_key",
+        "order_date_key",
+        ["product_scd_key"],
+        rows_per_task=max(1, s.log_rows // 500),
+    ).drop("product_key", "order_date_key")
+
+
 @query("j2_flatten_categories")
 def _(s: Shop) -> DataFrame:
     return dims.flatten_categories(
@@ -638,6 +666,16 @@ def _(s: Shop) -> DataFrame:
     return analytics.margin_by_subcategory(s.fct_sales, s.dim_products)
 
 
+@query("a7_revenue_trend")
+def _(s: Shop) -> DataFrame:
+    return analytics.revenue_trend(s.fct_sales, s.dim_products)
+
+
+@query("a8_customer_segments")
+def _(s: Shop) -> DataFrame:
+    return analytics.customer_segments(s.fct_sales, s.dim_products, AS_OF)
+
+
 # Streaming and jobs.
 
 
@@ -677,6 +715,31 @@ def _(s: Shop) -> DataFrame:
     return _fact(table.read(s.spark))
 
 
+@query("t3_compacted_increments")
+def _(s: Shop) -> DataFrame:
+    """Increments out of order, with a compaction once all of the first two have arrived.
+
+    Marks of deleted rows below that position are forgotten, and the log that is kept holds the
+    last event of each key; it is loaded again at the end, after the later increments.
+    """
+    table = s.sales_table(_scratch(s, "compacted"), "hard")
+    first, second, third, fourth = (staged("sales_log", part) for part in _log_slices(s))
+
+    def load(events: DataFrame) -> None:
+        table.upsert(facts.sales_increment(events, s.dim_products), keys_from=events)
+
+    load(second)
+    load(first)
+    settled = first.unionByName(second)
+    mark = cdc.cursor(cdc.checkpoint(settled, "sales", "mark"), "sales")
+    kept = materialise(cdc.compact_log(settled, facts.SALES_KEYS, mark), _scratch(s, "kept-log"))
+    table.forget(s.spark, mark)
+    load(fourth)
+    load(third)
+    load(kept)
+    return _fact(table.read(s.spark))
+
+
 def _warehouse(s: Shop) -> tuple[pipeline.Warehouse, DataFrame]:
     """First two daily refreshes, then the first load, then the increment job, all gated.
 

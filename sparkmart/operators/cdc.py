@@ -85,6 +85,73 @@ def apply_changes(table: DataFrame, changes: DataFrame, keys: Sequence[str]) ->
     return survivors.unionByName(final.where(F.col("op") != DELETE).select(*table.columns))
 
 
+def store_snapshot(
+    df: DataFrame, path: str, keys: Sequence[str], buckets: int = 256
+) -> None:
+    """Write a snapshot by bucket of its keys, with a checksum of every bucket beside it.
+
+    Two snapshots to be compared take the same ``buckets``; their number should grow with the
+    table, as one of them is what a single change costs.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    stored = df.withColumn("_bucket", bucket).repartition(buckets, "_bucket")
+    stored.write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/rows")
+    rows = df.sparkSession.read.schema(stored.schema).parquet(f"{path}/rows")
+    # NULLs leave a hash as it was, so where they are is hashed too.
+    nulls = F.concat(*[F.col(f"`{c}`").isNull().cast("string") for c in df.columns])
+    values = [F.col(f"`{c}`") for c in df.columns]
+    sums = rows.groupBy("_bucket").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(F.xxhash64(nulls, *values).cast("decimal(38,0)")).alias("_sum"),
+        F.bit_xor(F.xxhash64(F.lit(1), nulls, *values)).alias("_xor"),
+    )
+    sums.write.mode("overwrite").parquet(f"{path}/checksums")
+
+
+def stored_diff(spark: SparkSession, old: str, new: str, keys: Sequence[str]) -> DataFrame:
+    """``snapshot_diff`` of two stored snapshots; only buckets that differ are read.
+
+    One number for each of those reaches the driver.
+    """
+    sums = [spark.read.parquet(f"{path}/checksums") for path in (old, new)]
+    same = ["_bucket", "_rows", "_sum", "_xor"]
+    either = sums[0].join(sums[1], same, "left_anti").select("_bucket")
+    either = either.union(sums[1].join(sums[0], same, "left_anti").select("_bucket")).distinct()
+    differing = either.join(
+        sums[0].select("_bucket", F.lit(True).alias("_old")), "_bucket", "left"
+    ).join(sums[1].select("_bucket", F.lit(True).alias("_new")), "_bucket", "left")
+    buckets = differing.collect()
+
+    def rows(path: str, side: str) -> DataFrame:
+        paths = [f"{path}/rows/_bucket={r['_bucket']}" for r in buckets if r[side]]
+        if not paths:
+            return spark.read.parquet(f"{path}/rows").where(F.lit(False)).drop("_bucket")
+        found = spark.read.option("basePath", f"{path}/rows").parquet(*paths)
+        return found.drop("_bucket")
+
+    before, after = rows(old, "_old"), rows(new, "_new")
+    return snapshot_diff(before, after.select(*before.columns), keys)
+
+
+def compact_log(
+    log: DataFrame,
+    keys: Sequence[str],
+    below: str,
+    order_cols: Sequence[str] = ("lsn", "seqval"),
+    op_col: str = "op",
+) -> DataFrame:
+    """The log without what no one can ask of it any more.
+
+    ``below`` is the low-water mark: all events up to that position have arrived. Of those the
+    last one of each key stays, before-images and superseded events go, and so do deletes if the
+    table holds no key they concern, which is for ``KeyedTable.forget`` to see to.
+    """
+    position = F.col(order_cols[0])
+    settled = latest_state(log.where(position <= F.lit(below)), keys, order_cols, op_col)
+    kept = settled.where(~F.col("is_deleted")).select(*log.columns)
+    return kept.unionByName(log.where(position > F.lit(below)))
+
+
 def checkpoint(log: DataFrame, source: str, load_id: str, lsn_col: str = "lsn") -> DataFrame:
     """One state row holding the highest position in ``log``; the start if it is empty."""
     return log.agg(F.coalesce(F.max(lsn_col), F.lit(FIRST_LSN)).alias("lsn")).select(

@@ -20,12 +20,22 @@ from sparkmart.operators.joins import ROWS_PER_TASK
 from sparkmart.operators.neighbours import plan_stretches, with_neighbours
 
 
+@dataclass(frozen=True)
+class Relation:
+    """A foreign key: ``column`` of the checked table has to be in ``key`` of ``parent``."""
+
+    column: str
+    parent: DataFrame
+    key: str
+
+
 @dataclass(frozen=True)
 class Check:
     """A named rule over ``table``.
 
     ``condition`` marks violating rows of ``table``; without one, ``table`` itself holds
-    the violations, one per row, or as many as its column ``violations`` says. More than
+    the violations, one per row, or as many as its column ``violations`` says. With a
+    ``relation`` the violations are rows of ``table`` whose key has no parent. More than
     ``warn_if`` violations warn, more than ``error_if`` fail.
     """
 
@@ -35,6 +45,7 @@ class Check:
     severity: str = "error"
     warn_if: int = 0
     error_if: int | None = None
+    relation: Relation | None = None
 
 
 # Column checks: conditions that mark violating rows.
@@ -174,14 +185,51 @@ def volume_anomaly(
 # Running checks.
 
 
+def _without_parent(group: Sequence[Check]) -> DataFrame:
+    """Rows of (name, failures) of all foreign keys of one table.
+
+    One pass counts the rows per foreign key and value, within each task first, so a hot value
+    is one row by then; one anti join meets the keys of all parents.
+    """
+    used = F.array(
+        *[
+            F.when(
+                F.col(c.relation.column).isNotNull(),
+                F.struct(
+                    F.lit(c.name).alias("name"), F.col(c.relation.column).cast("string").alias("key")
+                ),
+            )
+            for c in group
+        ]
+    )
+    counted = (
+        group[0]
+        .table.select(F.inline(F.array_compact(used)))
+        .groupBy("name", "key")
+        .agg(F.count(F.lit(1)).alias("failures"))
+    )
+    parents = [
+        c.relation.parent.select(
+            F.lit(c.name).alias("name"), F.col(c.relation.key).cast("string").alias("key")
+        )
+        for c in group
+    ]
+    known = reduce(DataFrame.unionByName, parents)
+    return counted.join(known, ["name", "key"], "left_anti").select("name", "failures")
+
+
 def _violations(checks: Sequence[Check]) -> DataFrame:
     """Rows of (name, failures) that add up to the violations of each check.
 
-    Conditions on one table are counted in a single pass over it.
+    Conditions on one table are counted in a single pass over it, and so are its foreign keys.
     """
     fused: dict[int, list[Check]] = {}
+    related: dict[int, list[Check]] = {}
     parts: list[DataFrame] = []
     for check in checks:
+        if check.relation is not None:
+            related.setdefault(id(check.table), []).append(check)
+            continue
         if check.condition is not None:
             fused.setdefault(id(check.table), []).append(check)
             continue
@@ -192,6 +240,7 @@ def _violations(checks: Sequence[Check]) -> DataFrame:
                 (F.col("violations") if counted else F.lit(1)).cast("bigint").alias("failures"),
             )
         )
+    parts += [_without_parent(group) for group in related.values()]
     for group in fused.values():
         row = group[0].table.agg(
             *[F.count_if(c.condition).alias(f"_{i}") for i, c in enumerate(group)]

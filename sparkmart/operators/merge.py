@@ -350,6 +350,25 @@ class VersionedTable(KeyedTable):
         partly = rows.join(F.broadcast(some), ["_folder", BUCKET])
         return whole.select(*columns).unionByName(partly.select(*columns))
 
+    def forget(self, spark: SparkSession, below: str) -> None:
+        """Drop the marks of deleted rows up to a position below which no event can arrive.
+
+        They only guard against older events. With soft deletes they are rows of the table and
+        stay. The buckets that hold some are found in a scan of two columns, and rewritten.
+        """
+        if self.delete_mode != "hard":
+            return
+        old = self._gone & (F.col(self.order_cols[0]) <= F.lit(below))
+        rows = self._rows(spark)
+        sizes = dict(
+            tuple(r)
+            for r in rows.groupBy(BUCKET).agg(F.count(F.lit(1)), F.count_if(old).alias("_old"))
+            .where("_old > 0").drop("_old").collect()
+        )
+        if sizes:
+            kept = rows.where(F.col(BUCKET).isin([*sizes]) & ~old)
+            self._store(self._clustered(kept, sizes).drop("_part"), [*sizes])
+
     def waiting_rows(
         self, spark: SparkSession, name: str, references: DataFrame
     ) -> DataFrame | None:

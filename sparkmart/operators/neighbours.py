@@ -129,3 +129,40 @@ def with_neighbours(
         *[prev.getField(n).alias(n) for n in previous],
         *[nxt.getField(n).alias(n) for n in following],
     )
+
+
+def with_last(df: DataFrame, stretches: Stretches, column: str, into: str) -> DataFrame:
+    """Add the last value of ``column`` that is not NULL, of the rows up to and including each.
+
+    As with neighbours, hot keys run in stretches; the value a stretch ends with is handed on to
+    the ones after it.
+    """
+    keys, order = list(stretches.keys), list(stretches.order)
+    if stretches.cuts is None:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(into, F.last(column, ignorenulls=True).over(window))
+    position = F.size(F.filter("_cuts", lambda cut: cut < F.col(order[0])))
+    cut_up = (
+        _matched(df, F.broadcast(stretches.cuts), keys, "left")
+        .withColumn("_stretch", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(position))
+        .select(*df.columns, "_stretch", (F.col("_cuts").isNotNull()).alias("_hot"))
+    )
+    inside = Window.partitionBy(*keys, "_stretch").orderBy(*order)
+    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = cut_up.withColumn("_own", F.last(column, ignorenulls=True).over(inside))
+    before = (
+        Window.partitionBy(*keys)
+        .orderBy("_stretch")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    edges = (
+        cut_up.where("_hot")
+        .groupBy(*keys, "_stretch")
+        .agg(F.max_by(column, F.when(F.col(column).isNotNull(), F.struct(*order))).alias("_end"))
+        .select(
+            *keys, "_stretch", F.last("_end", ignorenulls=True).over(before).alias("_handed")
+        )
+    )
+    stitched = _matched(rows, F.broadcast(edges), [*keys, "_stretch"], "left")
+    return stitched.select(*df.columns, F.coalesce("_own", "_handed").alias(into))

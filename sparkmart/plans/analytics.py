@@ -6,11 +6,15 @@ are summed per dimension key before the dimension is joined.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.functions.keys import UNKNOWN_VERSION
+from sparkmart.functions.keys import UNKNOWN_KEY, UNKNOWN_VERSION
 from sparkmart.operators.joins import lookup_join
+from sparkmart.operators.ranks import tile, with_row_number
+from sparkmart.plans.calendar import key_to_date
 from sparkmart.plans.facts import live
 
 AMOUNT = "decimal(38,2)"
@@ -128,3 +132,94 @@ def margin_by_subcategory(sales: DataFrame, products: DataFrame) -> DataFrame:
         )
         .orderBy(F.col("gross_margin").desc_nulls_last(), "subcategory_name")
     )
+
+
+def revenue_trend(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Revenue per month, with the change to the month before and to the year before.
+
+    The months have no gaps; one without sales has a revenue of 0. There is one row per month by
+    the time they are compared. A change in per cent is NULL where there is nothing to compare.
+    """
+    units = (
+        live(sales)
+        .groupBy("product_scd_key", F.floor(F.col("order_date_key") / 100).alias("_month"))
+        .agg(F.sum("order_quantity").alias("_units"))
+    )
+    prices = products.select("product_scd_key", "product_price")
+    amount = (F.col("_units") * F.col("product_price")).cast(AMOUNT)
+    monthly = (
+        lookup_join(units, prices, ["product_scd_key"])
+        .groupBy(key_to_date(F.col("_month") * 100 + 1).alias("month"))
+        .agg(F.sum("_units").alias("units"), F.sum(amount).cast(AMOUNT).alias("revenue"))
+    )
+    bounds = monthly.agg(F.min("month").alias("first"), F.max("month").alias("last"))
+    months = bounds.where("first IS NOT NULL").select(
+        F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 MONTH"))).alias("month")
+    )
+    grid = months.join(monthly, "month", "left").select(
+        "month",
+        F.coalesce("units", F.lit(0)).alias("units"),
+        F.coalesce("revenue", F.lit(0).cast(AMOUNT)).alias("revenue"),
+    )
+    order = Window.partitionBy().orderBy("month")
+
+    def change(months_before: int) -> tuple[Column, Column]:
+        then = F.lag("revenue", months_before).over(order)
+        share = F.col("revenue").cast("double") / F.nullif(then.cast("double"), F.lit(0.0))
+        return F.col("revenue") - then, F.round((share - 1) * 100, 2)
+
+    month, year = change(1), change(12)
+    return grid.select(
+        "month",
+        "units",
+        "revenue",
+        month[0].cast(AMOUNT).alias("month_over_month"),
+        month[1].alias("month_over_month_pct"),
+        year[0].cast(AMOUNT).alias("year_over_year"),
+        year[1].alias("year_over_year_pct"),
+    )
+
+
+def customer_segments(
+    sales: DataFrame, products: DataFrame, as_of: date, tiles: int = 5
+) -> DataFrame:
+    """Recency, frequency and value of every customer with orders, and a score of each.
+
+    Scores are exact quantiles, from 1 to ``tiles``, the best being the highest; customers that
+    are equal go by their key. The unknown customer is none. Prices are joined per customer and
+    version, and only one row per customer is ranked.
+    """
+    known = live(sales).where(F.col("customer_key") != UNKNOWN_KEY)
+    orders = known.groupBy("customer_key").agg(
+        F.max("order_date_key").alias("last_order_date_key"),
+        F.count_distinct("order_number").alias("frequency"),
+    )
+    units = known.groupBy("customer_key", "product_scd_key").agg(
+        F.sum("order_quantity").alias("_units")
+    )
+    prices = products.select("product_scd_key", "product_price")
+    amount = (F.col("_units") * F.col("product_price")).cast(AMOUNT)
+    value = (
+        lookup_join(units, prices, ["product_scd_key"])
+        .groupBy("customer_key")
+        .agg(F.coalesce(F.sum(amount), F.lit(0)).cast(AMOUNT).alias("value"))
+    )
+    days = F.datediff(F.lit(as_of), key_to_date(F.col("last_order_date_key")))
+    scored = orders.join(value, "customer_key").withColumn("recency_days", days)
+    for name, order in (
+        ("recency", F.col("recency_days").desc()),
+        ("frequency", F.col("frequency").asc()),
+        ("value", F.col("value").asc()),
+    ):
+        ranked = with_row_number(scored, [order, F.col("customer_key").asc()], "_at", "_all")
+        score = tile(F.col("_at"), F.col("_all"), tiles)
+        scored = ranked.withColumn(f"{name}_score", score).drop("_at", "_all")
+    return scored.select(
+        "customer_key",
+        "recency_days",
+        "frequency",
+        "value",
+        "recency_score",
+        "frequency_score",
+        "value_score",
+    )

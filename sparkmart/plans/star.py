@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from sparkmart.functions.decode import GENDER, MARITAL_STATUS, NOT_AVAILABLE, STYLE
 from sparkmart.operators.checks import (
     Check,
+    Relation,
     accepted_values,
     duplicates,
     future_dates,
     negative_margins,
     not_null,
-    orphans,
     returned_before_ordered,
     scd2_overlaps,
     stale,
@@ -68,7 +68,8 @@ def _column_checks(
 def _relationship(
     table: str, df: DataFrame, column: str, parent: DataFrame, parent_column: str
 ) -> Check:
-    return Check(f"{table}.{column}.relationship", orphans(df, column, parent, parent_column))
+    relation = Relation(column, parent, parent_column)
+    return Check(f"{table}.{column}.relationship", df, relation=relation)
 
 
 def staging_checks(staged: dict[str, DataFrame]) -> list[Check]:
