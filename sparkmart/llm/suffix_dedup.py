@@ -26,6 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import merge_runs, repeats
 from . import text as tx
@@ -352,7 +353,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, with_text: bool = True) -
     merged = (
         repeats.with_found(docs, anchors, "inner")
         .mapInArrow(_surround(length, shards, n), repeats.FLAGS)
-        .repartition(n, "shard")
+        # Shard numbers are even hashes already: hashed again, some tasks would get many of them.
+        .repartitionById(n, F.pmod("shard", F.lit(n)).cast("int"))
         .sortWithinPartitions("shard")
         .mapInArrow(_merge(length, n), repeats.FLAGS)
     )
