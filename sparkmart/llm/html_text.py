@@ -53,6 +53,9 @@ BEARERS = set(
     " global group head holder icons id inner item items left link links list main message outer"
     " page panel post posts right row section site slot top unit wrap wrapper".split()
 )
+#: A class that ends or begins like this is a mark, whatever else it says.
+MARK_ENDINGS = {"comments", "commentlist", "replies"}
+MARK_BEGINNINGS = {"related", "recommended"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Elements whose start ends an open one of these, if it is not beyond one of those.
 _CELLS = {"td", "th"}
@@ -104,6 +107,8 @@ def _is_boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     own_id, classes = given.get("id", ""), given.get("class", "").split()
     if name == "article":
         return any(_means(x, COMMENT_WORDS) for x in [*classes, own_id])
+    if any(_begins_or_ends(x) for x in classes):
+        return True
     if (
         given.get("hidden", "until-found").lower() != "until-found"
         or given.get("aria-hidden", "").lower() == "true"
@@ -125,6 +130,12 @@ def _means(token: str, marks: set[str]) -> bool:
     return not marks.isdisjoint(parts) and all(x in marks or x in BEARERS for x in parts)
 
 
+def _begins_or_ends(token: str) -> bool:
+    """Whether a class names reader comments (user-comments) or other texts (related-stories)."""
+    parts = [x.lower() for x in _PARTS.findall(token) if len(x) > 1]
+    return bool(parts) and (parts[-1] in MARK_ENDINGS or parts[0] in MARK_BEGINNINGS)
+
+
 class Line(NamedTuple):
     """Text, its length (0 if mostly links), which of article and main hold it, and its boxes."""
 
@@ -148,6 +159,10 @@ class _Lines:
         self.boxes = [0]  # numbers of the open boxes, the page itself being 0
         self.n_boxes = 0
         self.dropped = 0  # how many elements are open up to the boilerplate one we are in
+        self.dropped_at = 0  # where that one began
+        self.main_seen = False  # whether an article or main has begun outside
+        self.closed: dict[int, bool] = {}  # whether dropped ones have an end tag, by where they began
+        self.no_more: set[str] = set()  # names without an end tag ahead
 
     def text(self, raw: str) -> None:
         if raw:
@@ -190,6 +205,7 @@ class _Lines:
             self.end()
             if name in ("article", "main") and not drop:
                 self.gap()
+                self.main_seen = True
             if name in BOXES and not drop:
                 self.n_boxes += 1
                 self.boxes.append(self.n_boxes)
@@ -225,6 +241,39 @@ class _Lines:
             self.end()
 
 
+def _has_end(out: _Lines, page: str, name: str) -> bool:
+    """Whether the dropped element has an end tag of its own; looked for once."""
+    began = out.dropped_at
+    if began not in out.closed:
+        out.closed[began] = False
+        depth = 1 if name not in out.no_more else 0
+        ends = False
+        for tag in re.compile(rf"<(/?){re.escape(name)}(?=[\s/>])", re.I).finditer(page, began):
+            if not depth:
+                break
+            ends = ends or bool(tag[1])
+            depth += -1 if tag[1] else 1
+            if not depth:
+                out.closed[began] = True
+        if not ends:
+            out.no_more.add(name)
+    return out.closed[began]
+
+
+def _holds_no_main(out: _Lines, page: str, name: str) -> bool:
+    """Whether the dropped element we are in stays dropped where ``name`` (article, main) starts.
+
+    An aside, footer, navigation, header or form with an end tag holds teasers at best. Of
+    others, marked by a class, an article is one if the story has begun before.
+    """
+    left = out.open[out.dropped - 1]
+    if left == "head":
+        return True
+    if left in BOILERPLATE:
+        return _has_end(out, page, left)
+    return name == "article" and out.main_seen and _has_end(out, page, left)
+
+
 def lines(page: str) -> list[Line]:
     """The lines of a page, without boilerplate elements."""
     out, at, size = _Lines(), 0, len(page)
@@ -252,7 +301,8 @@ def lines(page: str) -> list[Line]:
         if out.dropped:
             # an element left open ends where the page's main part begins
             left = out.open[out.dropped - 1]
-            if name == "body" or (name in ("article", "main") and left != "head"):
+            begins = name in ("article", "main") and not _holds_no_main(out, page, name)
+            if name == "body" or begins:
                 out.pop(out.dropped - 1)
         if out.dropped:
             if name not in VOID and not token[4] and (name not in INLINE or name == left):
@@ -262,6 +312,7 @@ def lines(page: str) -> list[Line]:
             name, attributes, bool(out.counts["article"] or out.counts["main"])
         ):
             out.push(name, True)
+            out.dropped_at = token.end()
         elif name == "a":
             out.in_link = True
         elif name == "br":

@@ -62,3 +62,28 @@ def test_dropped_elements_without_end_tags_end_at_the_next():
     assert html_text.extract(page) == f"{TEXT} 1 2"
     page = f"<article><p>{TEXT}<ul><li class=ad>no<ul><li>no</ul>no<li>1</ul>"
     assert html_text.extract(page) == f"{TEXT} 1"
+
+
+def test_teasers_in_closed_boilerplate_stay_out():
+    teaser = "<article><p>A teaser of another story that is long enough to be taken for one, were it not marked as such.</article>"
+    for name in ("aside", "footer", "nav", "header", "form"):
+        page = f"<main><article><p>{TEXT}</p></article><{name}>{teaser}<{name}>x</{name}>{teaser}</{name}></main>"
+        assert html_text.extract(page) == TEXT
+        page = f"<{name}>{teaser}</{name}><main><article><p>{TEXT}</p></article></main>"
+        assert html_text.extract(page) == TEXT
+    # Where the end tag is missing the main part ends it, inner elements of the name or not.
+    for name in ("aside", "header", "form"):
+        page = f"<{name}><p>x</p><main><article><{name}>y</{name}><p>{TEXT}</p></article></main>"
+        assert html_text.extract(page) == TEXT
+    page = f"<article><p>{TEXT}</p></article><div class=sidebar>{teaser}</div><p>far</p>"
+    assert html_text.extract(page) == TEXT
+    assert html_text.extract(f"<div class=sidebar><p>x<article><p>{TEXT}</p></article></div>") == TEXT
+
+
+def test_comments_and_related_lists_by_their_place_in_a_class():
+    for mark in ("user-comments", "articleComments", "post-replies", "related-articles", "recommended-reading"):
+        page = f"<article><p>{TEXT}</p><div class='{mark}'><p>{TEXT}</p></div></article>"
+        assert html_text.extract(page) == TEXT
+    for mark in ("share-price", "comments-free-zone", "unrelated", "reply-speed"):
+        page = f"<article><p>{TEXT}</p><div class='{mark}'><p>yes</p></div></article>"
+        assert html_text.extract(page) == f"{TEXT} yes"
