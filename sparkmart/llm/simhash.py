@@ -18,7 +18,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.session import materialise, workspace
@@ -254,22 +254,36 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
     )
 
 
+def _row_hash(docs: DataFrame, seed: int) -> Column:
+    """A hash of all columns, where NULLs are included; maps and variants by their JSON."""
+    plain, others = [], []
+    for f in docs.schema.fields:
+        text = f.dataType.simpleString()
+        (others if "map<" in text or "variant" in text else plain).append(F.col(f"`{f.name}`"))
+    nulls = F.concat(*[c.isNull().cast("string") for c in plain + others])
+    spelled = [F.to_json(F.struct(c.alias("c"))) for c in others]
+    return F.xxhash64(F.lit(seed), nulls, *plain, *spelled)
+
+
 def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """One row of each component: of the smallest ``doc_id``, rows with a null one last.
 
     Of rows with that ``doc_id`` the one with the smallest hash of all its columns stays, so
-    it is the same one in every run.
+    it is the same one in every run; of equal rows one stays. All columns come back as they are,
+    whatever their names. Two 64-bit hashes tell rows apart; decisions are taken on them, and
+    texts are moved once.
     """
-    key = "_row_key"
-    keyed = docs.withColumn(key, F.xxhash64(*docs.columns))
+    keys = tx.free_names(docs.columns, "key_a", "key_b")
+    keyed = docs.select("*", *[_row_hash(docs, i).alias(k) for i, k in enumerate(keys)])
     firsts = (
-        _linked(keyed, shingle, radius, (key,))
+        _linked(keyed, shingle, radius, keys)
         .groupBy("component")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key)).alias("first"))
-        .select(F.col("first.doc_id").alias("first_id"), F.col(f"first.{key}").alias("first_key"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *keys)).alias("first"))
+        .select(*[F.col("first").getField(k).alias(k) for k in keys])
+    )
+    return keyed.join(firsts, list(keys), "left_semi").dropDuplicates(list(keys)).select(
+        *[f"`{c}`" for c in docs.columns]
     )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("first_id")) & (F.col(key) == F.col("first_key"))
-    return keyed.join(firsts, same, "left_semi").dropDuplicates(["doc_id", key]).drop(key)
 
 
 def _linked(

@@ -22,6 +22,18 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def free_names(taken: Iterable[str], *wanted: str) -> tuple[str, ...]:
+    """Column names like the wanted ones that are not taken, in any case of letters."""
+    held = {c.lower() for c in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in held:
+            name = f"_{name}"
+        held.add(name.lower())
+        out.append(name)
+    return tuple(out)
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
