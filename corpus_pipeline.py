@@ -9,11 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.llm import bpe, decontaminate, language_id, secret_scan, simhash
+from sparkmart.llm.text import free_names
 from sparkmart.session import materialise, workspace
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def _aside(
+    docs: DataFrame, *names: str
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` without columns of these names, which an operator adds, and the way back to all.
+
+    Given columns of these names wait under others and come back as they were.
+    """
+    clash = [c for c in docs.columns if c.lower() in names]
+    others = dict(zip(clash, free_names([*docs.columns, *names], *clash), strict=True))
+    given = docs.select(*[F.col(f"`{c}`").alias(others.get(c, c)) for c in docs.columns])
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(f"`{others.get(c, c)}`").alias(c) for c in docs.columns])
+
+    return given, back
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents in no learned language: null, without a letter, or like none of them.
 
@@ -26,7 +44,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         return docs.where(F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
     least = language_id.least_score(docs, model)
     known = ~language_id.long_enough() | (F.col("score") >= least)
-    return language_id.label(docs, model).where((F.col("lang_pred") != "und") & known).select(docs.columns)
+    aside, back = _aside(docs, "lang_pred", "score")
+    return back(language_id.label(aside, model).where((F.col("lang_pred") != "und") & known))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,12 +63,14 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces secrets in the texts by a mark; ``n_chars`` follows."""
-    done = secret_scan.redact(secret_scan.scan(docs, by_part=True))
-    changed = F.size("secrets") > 0
-    return done.withColumn(
-        "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    ).select(docs.columns)
+    """Replaces secrets in the texts by a mark; ``n_chars`` follows, where there is one."""
+    aside, back = _aside(docs, "secrets")
+    done = secret_scan.redact(secret_scan.scan(aside, by_part=True))
+    if "n_chars" in docs.columns:
+        changed, kind = F.size("secrets") > 0, docs.schema["n_chars"].dataType
+        length = F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
+        done = done.withColumn("n_chars", length)
+    return back(done)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
