@@ -3,8 +3,12 @@
 Method: multinomial logistic regression over sparse word n-grams (``pyspark.ml``) learns
 families from notices, ``none`` from a bounded sample of the corpus and ``unknown`` from notices
 of licences that do not exist. Its weights become a small table that paragraphs' n-grams
-join. A prediction below the calibrated probability, or that no template of its family
-confirms, is ``unknown``. Everything is DataFrame operations; no Python runs on executors.
+join. Everything is DataFrame operations; no Python runs on executors.
+
+The probability is calibrated on wording the model has not seen: whole notices, licence names and
+invented names are held out in turn, and a logistic curve is fitted to how often a family named
+for them is right. A prediction below the probability at which naming pays, or that no template
+of its family confirms, is ``unknown``.
 
 A paragraph is a line of the text. A family can only win where an n-gram with a weight in its
 favour occurs, so paragraphs without the words of such n-grams are ``none`` and not scored.
@@ -13,10 +17,10 @@ favour occurs, so paragraphs without the words of such n-grams are ``none`` and
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import product
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,63 +29,145 @@ from sparkmart.session import materialise, workspace
 SAMPLE_DOCUMENTS = 400
 VOCABULARY = 4000
 CONFIRM = 0.6
+FOLDS = 3
+#: A wrong name is as bad as so many licences left unknown.
+WRONG_NAME_COST = 5
 NONE, UNKNOWN = "none", "unknown"
 
-#: Notices of each family.
-TEMPLATES = {
+#: Sentences of each family's notices.
+SENTENCES = {
     "mit": [
-        "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this"
         " software and associated documentation files (the Software), to deal in the Software"
         " without restriction",
-        "SPDX-License-Identifier: MIT",
+        "The above copyright notice and this permission notice shall be included in all copies or"
+        " substantial portions of the Software.",
     ],
     "apache-2.0": [
-        "Licensed under the Apache License, Version 2.0.",
         "you may not use this file except in compliance with the License. You may obtain a copy"
         " of the License at http://www.apache.org/licenses/LICENSE-2.0",
-        "SPDX-License-Identifier: Apache-2.0",
     ],
     "gpl": [
-        "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms"
         " of the GNU General Public License as published by the Free Software Foundation",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
+        "You should have received a copy of the GNU General Public License along with this"
+        " program.",
     ],
     "lgpl": [
-        "Licensed under the GNU Lesser General Public License, version 2.1.",
         "This library is free software; you can redistribute it and/or modify it under the terms"
         " of the GNU Lesser General Public License",
+        "You should have received a copy of the GNU Lesser General Public License along with this"
+        " library.",
     ],
     "bsd": [
-        "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are"
         " permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of"
+        " conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of"
+        " conditions and the following disclaimer in the documentation",
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "Licensed under the Mozilla Public License 2.0.",
-    ],
-    "cc-by": [
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    ],
-    "cc-by-nc": [
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0"
-        " International License.",
     ],
+    "cc-by": [],
+    "cc-by-nc": [],
     "public-domain": [
-        "This work is dedicated to the public domain under CC0 1.0 Universal.",
+        "This work is dedicated to the public domain.",
         "This is free and unencumbered software released into the public domain.",
+        "The person who associated a work with this deed has dedicated the work to the public"
+        " domain by waiving all rights to the work worldwide under copyright law",
     ],
     "proprietary": [
         "All rights reserved.",
         "Unauthorized copying of this file, via any medium, is strictly prohibited. Proprietary"
         " and confidential.",
+        "No part of this work may be reproduced without the prior written permission of the"
+        " copyright holder. All rights reserved.",
+        "This document contains confidential and proprietary information. All rights reserved.",
+    ],
+}
+#: Names and short names of each family's licences.
+NAMES = {
+    "mit": ["MIT License", "MIT Licence", "Expat License", "MIT/X11 License"],
+    "apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0", "Apache-2.0"],
+    "gpl": [
+        "GNU General Public License, version 3",
+        "GNU General Public License v2",
+        "GNU GPL",
+        "GPLv3",
+        "GPL v2",
+    ],
+    "lgpl": [
+        "GNU Lesser General Public License, version 2.1",
+        "GNU Lesser General Public License v3",
+        "GNU LGPL",
+        "LGPLv3",
+    ],
+    "bsd": ["BSD 3-Clause License", "BSD 2-Clause License", "New BSD License", "BSD License"],
+    "mpl": ["Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "MPL 2.0"],
+    "cc-by": [
+        "CC BY 4.0",
+        "CC BY 3.0",
+        "Creative Commons Attribution 4.0 International License",
+        "Creative Commons Attribution License",
+    ],
+    "cc-by-nc": [
+        "CC BY-NC 4.0",
+        "CC BY-NC 3.0",
+        "Creative Commons Attribution-NonCommercial 4.0 International License",
+        "Creative Commons Attribution-NonCommercial License",
     ],
+    "public-domain": ["CC0 1.0 Universal", "CC0 1.0", "The Unlicense"],
+    "proprietary": [],
 }
-#: How notices are framed, and names of licences that do not exist.
+#: Identifiers of each family's licences.
+IDENTIFIERS = {
+    "mit": ["MIT"],
+    "apache-2.0": ["Apache-2.0"],
+    "gpl": ["GPL-2.0-only", "GPL-3.0-or-later"],
+    "lgpl": ["LGPL-2.1-only", "LGPL-3.0-or-later"],
+    "bsd": ["BSD-2-Clause", "BSD-3-Clause"],
+    "mpl": ["MPL-2.0"],
+    "cc-by": ["CC-BY-4.0"],
+    "cc-by-nc": ["CC-BY-NC-4.0"],
+    "public-domain": ["CC0-1.0", "Unlicense"],
+    "proprietary": [],
+}
+#: First words and kinds of licences that do not exist.
+INVENTED_WORDS = (
+    "Brandnew", "Acme Sharing", "Open Harbour", "Lighthouse", "Cooperative", "Meadow", "Northern",
+    "Free Orchard", "Riverside", "Granite", "Blue Lantern", "Weaver", "Summit", "Old Mill",
+    "Clearwater", "Fair Share", "Pinewood", "Copper", "Garden", "Sparrow", "Eastgate", "Data Commons",
+    "Compass", "Willow",
+)
+INVENTED_KINDS = (
+    "License", "License, Version {}.0", "Public License, version {}", "Agreement", "Licence {}.1",
+    "General License v{}", "Terms of Use, version {}", "Community Charter",
+)
+#: Sentences with words of notices that name no licence.
+NEAR_MISSES = (
+    "Nobody may drive a car on a public road without a license.",
+    "The fishing licence expired in May and was not renewed.",
+    "All visitors have the same rights and duties in this house.",
+    "The terms were agreed after long talks between both sides.",
+    "Permission to build was refused by the council.",
+    "The software was free to try and easy to use.",
+    "Under these conditions the bridge could not be opened to the public.",
+    "The source of the river lies in the north of the domain.",
+    "A new version of the story was published in the journal.",
+    "The copyright of the song was disputed for years.",
+    "The bar lost its license and closed its doors.",
+    "Their work is distributed over many rooms and reserved for members.",
+)
+INVENTED_IDENTIFIERS = ("Harbour-1.1", "Orchard-4.0-only", "Meadow-3.1")
+#: How names are put into sentences, and how notices are framed.
+SAYINGS = (
+    "Released under the {}.",
+    "Licensed under {}.",
+    "License: {}",
+    "This work is licensed under the terms of the {}.",
+)
 FRAMES = (
     "{}",
     "Copyright (c) 2021 The Authors. {}",
@@ -90,14 +176,32 @@ FRAMES = (
     "The code of this project is as follows. {}",
     "{} Please read it with care.",
 )
-INVENTED = (
-    "Released under the Brandnew License.",
-    "Licensed under the Acme Sharing License, Version 7.0.",
-    "This work is licensed under the Open Harbour License, version 5.",
-    "Licensed under the terms of the Lighthouse Agreement.",
-    "SPDX-License-Identifier: Harbour-1.1",
-    "You may use this work under the conditions of the Cooperative Licence.",
-)
+SPDX = "SPDX-License-Identifier: {}"
+#: What confirms a family: its sentences, names and identifiers.
+TEMPLATES = {
+    family: [*sentences, *NAMES[family], *map(SPDX.format, IDENTIFIERS[family])]
+    for family, sentences in SENTENCES.items()
+}
+
+
+def wordings() -> list[tuple[str, int, str]]:
+    """Family (or ``unknown``), number of the notice in it, and the notice in each saying.
+
+    All sayings of one licence name are one notice, so a held-out name is held out in all.
+    """
+    named = [(f, SENTENCES[f], NAMES[f], IDENTIFIERS[f]) for f in SENTENCES]
+    kinds = len(INVENTED_KINDS)
+    invented = [
+        f"{word} {INVENTED_KINDS[(i + k) % kinds].format(i % 9 + 1)}"
+        for i, word in enumerate(INVENTED_WORDS)
+        for k in (0, 3)
+    ]
+    out = []
+    for family, sentences, names, ids in [*named, (UNKNOWN, [], invented, INVENTED_IDENTIFIERS)]:
+        notices = [*([s] for s in sentences), *([s.format(n) for s in SAYINGS] for n in names)]
+        notices += [[SPDX.format(i)] for i in ids]
+        out += [(family, i, text) for i, notice in enumerate(notices) for text in notice]
+    return out
 
 
 def words(text: Column) -> Column:
@@ -125,13 +229,18 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """Weights by n-gram (one column per class), intercepts, and the least probability."""
+    """Weights by n-gram (one column per class), intercepts, and the least probability.
+
+    ``slope`` and ``shift`` turn the log odds of the likeliest class into calibrated ones.
+    """
 
     classes: list[str]
     weights: list[tuple]
     intercepts: list[float]
-    threshold: float
-    anchors: list[str]
+    threshold: float = 0.0
+    anchors: list[str] | None = None
+    slope: float = 1.0
+    shift: float = 0.0
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -167,16 +276,15 @@ def _sample(docs: DataFrame, most: int) -> DataFrame:
     return rows.where(F.col("_place").isin(chosen)).dropDuplicates(["_place"]).drop("_place")
 
 
-def _training_rows(docs: DataFrame, sample_documents: int) -> DataFrame:
+def training_rows(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> DataFrame:
+    """``label``, ``paragraph``, ``fold`` and ``grams`` of framed notices and of corpus lines."""
     spark = docs.sparkSession
     rows = [
-        (family, frame.format(notice), i)
-        for family, notices in [*TEMPLATES.items(), (UNKNOWN, list(INVENTED))]
-        for i, (notice, frame) in enumerate(product(notices, FRAMES))
-    ]
-    known = spark.createDataFrame(rows, "label string, paragraph string, i int").select(
-        "label", "paragraph", (F.col("i") % 4 == 3).alias("held")
-    )
+        (family, frame.format(notice), i % FOLDS)
+        for family, i, notice in wordings()
+        for frame in FRAMES
+    ] + [(NONE, text, i % FOLDS) for i, text in enumerate(NEAR_MISSES)]
+    known = spark.createDataFrame(rows, "label string, paragraph string, fold int")
     plain = paragraphs(_sample(docs, sample_documents)).select("paragraph").distinct()
     plain = plain.withColumn("own", ngrams(words(F.col("paragraph"))))
     notices = _templates(spark).select(ngrams(words(F.col("template"))).alias("grams"))
@@ -184,64 +292,102 @@ def _training_rows(docs: DataFrame, sample_documents: int) -> DataFrame:
     marked = plain.crossJoin(F.broadcast(notices)).where(
         ~F.exists("all", lambda grams: _likeness(F.col("own"), grams) >= CONFIRM)
     )
-    negative = marked.select(
-        F.lit(NONE).alias("label"), "paragraph", (F.pmod(F.xxhash64("paragraph"), F.lit(4)) == 3)
-    )
-    return known.unionAll(negative)
-
+    fold = F.pmod(F.xxhash64("paragraph"), F.lit(FOLDS)).cast("int")
+    negative = marked.select(F.lit(NONE).alias("label"), "paragraph", fold.alias("fold"))
+    rows = known.unionAll(negative).withColumn("grams", ngrams(words(F.col("paragraph"))))
+    return materialise(rows, f"{workspace(spark, 'licences')}/training")
 
-def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Model:
-    """Fit on the notices and on the lines of at most ``sample_documents`` documents.
 
-    The rows with the smallest hash are taken, so any table gives the same sample wherever its
-    rows lie. A quarter is held out; the threshold is the one with the
-    fewest errors there. An empty table gives a model without corpus lines.
-    """
-    spark = docs.sparkSession
+def fit(rows: DataFrame) -> Model:
+    """The classifier of the given training rows, without calibration."""
     classes = [*TEMPLATES, UNKNOWN, NONE]
-    rows = _training_rows(docs, sample_documents).withColumn(
-        "grams", ngrams(words(F.col("paragraph")))
-    )
-    rows = materialise(rows, f"{workspace(spark, 'licences')}/training")
-    notices = rows.where(F.col("label") != NONE)
+    # a corpus line without a known n-gram says nothing but how common such lines are
     counter = CountVectorizer(
         inputCol="grams", outputCol="features", vocabSize=VOCABULARY, binary=True
-    ).fit(notices)
+    ).fit(rows.where(F.col("label") != NONE))
     index = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("label")) - 1
-    # a corpus line without a known n-gram says nothing but how common such lines are
-    data = counter.transform(rows).withColumn("y", index.cast("double"))
     regression = LogisticRegression(
         labelCol="y", featuresCol="features", regParam=0.0005, elasticNetParam=0.1, maxIter=40,
         family="multinomial",
     )
-    fitted = regression.fit(data.where("not held").coalesce(4))
+    data = counter.transform(rows).withColumn("y", index.cast("double"))
+    fitted = regression.fit(data.coalesce(4))
     matrix = fitted.coefficientMatrix.toArray()
-    present = matrix.shape[0]  # classes up to the last one that occurs
-    classes = classes[:present]
     weights = [
         (gram, *map(float, matrix[:, i]))
         for i, gram in enumerate(counter.vocabulary)
         if matrix[:, i].any()
     ]
-    intercepts = [float(x) for x in fitted.interceptVector.toArray()]
-    model = Model(classes, weights, intercepts, 0.0, [])
+    # classes up to the last one that occurs
+    return Model(classes[: matrix.shape[0]], weights, [float(x) for x in fitted.interceptVector])
+
+
+def held_out(rows: DataFrame) -> DataFrame:
+    """``label``, ``paragraph``, ``family`` and ``probability`` of every training row that has a
+    known n-gram, by a model of the other folds, to which its notice or name is new."""
+    spark = rows.sparkSession
+    parts = []
+    for fold in range(FOLDS):
+        own = rows.where(F.col("fold") == fold).select("label", "paragraph").distinct()
+        model = fit(rows.where(F.col("fold") != fold))
+        parts.append(score(own.select("paragraph").distinct(), model).join(own, "paragraph"))
+    scored = reduce(DataFrame.unionAll, parts)
+    return materialise(scored, f"{workspace(spark, 'licences')}/heldout")
+
+
+def _log_odds(probability: str) -> Column:
+    p = F.least(F.greatest(F.col(probability), F.lit(1e-9)), F.lit(1 - 1e-9))
+    return F.log(p / (1 - p))
+
+
+def calibration(scored: DataFrame) -> tuple[float, float]:
+    """Slope and shift of the logistic curve from log odds to the share of right classes.
+
+    Taken over all notices, real and invented. Each row counts for both outcomes, the one it shows with the weight (n + 1) / (n + 2) of n
+    such rows, so a clean separation gives no infinite slope.
+    """
+    named = scored.where(F.col("label") != NONE).select(
+        _log_odds("probability").alias("odds"), (F.col("label") == F.col("family")).alias("right")
+    )
+    right, wrong = named.agg(F.count_if("right"), F.count_if(~F.col("right"))).first()
+    if not right + wrong:
+        return 1.0, 0.0
+    shown = F.when(F.col("right"), (right + 1) / (right + 2)).otherwise(1 / (wrong + 2))
+    both = F.explode(F.array(F.struct(F.lit(1.0).alias("y"), shown.alias("w")),
+                             F.struct(F.lit(0.0).alias("y"), (1 - shown).alias("w"))))
+    data = named.select("odds", both.alias("b")).select("odds", "b.y", "b.w")
+    data = VectorAssembler(inputCols=["odds"], outputCol="features").transform(data)
+    curve = LogisticRegression(labelCol="y", weightCol="w").fit(data.coalesce(4))
+    return max(0.0, float(curve.coefficients[0])), float(curve.intercept)
+
+
+def without_doubtful(rows: DataFrame, scored: DataFrame) -> DataFrame:
+    """Training rows but for corpus lines that a model of the other folds takes for a licence.
+
+    The corpus is not labelled: its lines may name licences no template knows.
+    """
+    doubtful = scored.where(
+        (F.col("label") == NONE) & (F.col("family") != NONE) & ~F.col("paragraph").isin(*NEAR_MISSES)
+    ).select("label", "paragraph")
+    return rows.join(F.broadcast(doubtful), ["label", "paragraph"], "left_anti")
+
+
+def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Model:
+    """Fit on the notices and on the lines of at most ``sample_documents`` documents.
+
+    The rows with the smallest hash are taken, so any table gives the same sample wherever its
+    rows lie. The probability is calibrated on held-out notices and names, and the threshold is
+    where a name is as likely to pay as not. An empty table gives a model whose only plain lines
+    are ``NEAR_MISSES``.
+    """
+    rows = training_rows(docs, sample_documents)
+    scored = held_out(rows)
+    model = fit(without_doubtful(rows, scored))
+    model.slope, model.shift = calibration(scored)
+    model.threshold = WRONG_NAME_COST / (WRONG_NAME_COST + 1)
     tokens = rows.where(F.col("label") == NONE).select(F.explode("grams").alias("gram"))
-    counts = tokens.where(F.col("gram").isin(*{w for g, *_ in weights for w in g.split()}))
+    counts = tokens.where(F.col("gram").isin(*{w for g, *_ in model.weights for w in g.split()}))
     model.anchors = _anchors(model, dict(map(tuple, counts.groupBy("gram").count().collect())))
-    held = rows.where("held").select("label", "paragraph").distinct()
-    scored = score(held.select("paragraph").distinct(), model).join(held, "paragraph")
-    grid = [i / 20 for i in range(6, 20)]
-    errors = scored.agg(
-        *[
-            F.sum(
-                F.when(F.col("label") == F.col("family"), (F.col("probability") < g).cast("int"))
-                .when(F.col("family").isin(NONE, UNKNOWN), 0)
-                .otherwise(5 * (F.col("probability") >= g).cast("int"))
-            ).alias(f"e{i}")
-            for i, g in enumerate(grid)
-        ]
-    ).first()
-    model.threshold = min(zip((e or 0 for e in errors), grid, strict=True))[1]
     return model
 
 
@@ -284,6 +430,7 @@ def score(texts: DataFrame, model: Model) -> DataFrame:
     sums = grams.join(table, "gram").groupBy("paragraph").agg(*[F.sum(n).alias(n) for n in names])
     odds = F.array(*[F.col(n) + F.lit(b) for n, b in zip(names, model.intercepts, strict=True)])
     top = F.array_max("odds")
+    rest = F.aggregate("odds", F.lit(-1.0), lambda total, x: total + F.exp(x - top))
     return sums.select("paragraph", odds.alias("odds")).select(
         "paragraph",
         F.get(
@@ -291,8 +438,7 @@ def score(texts: DataFrame, model: Model) -> DataFrame:
             (F.array_position("odds", top) - 1).cast("int"),
         ).alias("family"),
         (
-            1
-            / F.aggregate("odds", F.lit(0.0), lambda total, x: total + F.exp(x - F.array_max("odds")))
+            1 / (1 + F.exp(model.slope * F.log(F.greatest(rest, F.lit(1e-12))) - model.shift))
         ).alias("probability"),
     )
 
