@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.session import workspace
+
 from . import text as tx
 
 CHARS_PER_ERROR = 12
@@ -197,13 +199,24 @@ def matches(
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Null or blank items are not
     looked for, null or empty texts have no match. ``n_edits`` is the smallest number over all
     places. Repeated rows on either side give repeated matches; other columns are ignored.
+    Where the benchmark has more than one block, the matches of each are written before the next
+    but one is read, so the driver and the plan hold two blocks, however many there are.
     """
+    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null")
-    out = None
-    for items in _blocks(benchmark):
+    blocks, path, written = _blocks(benchmark), None, 0
+    items = next(blocks, None)
+    while items:
         found = texts.mapInArrow(_finding(items, chars_per_error), _MATCH)
-        out = found if out is None else out.unionAll(found)
-    return out if out is not None else docs.sparkSession.createDataFrame([], _MATCH)
+        items = next(blocks, None)
+        if not written and not items:
+            return found
+        path = path or workspace(spark, "matches")
+        found.write.mode("overwrite").parquet(f"{path}/block={written}")
+        written += 1
+    if not written:
+        return spark.createDataFrame([], _MATCH)
+    return spark.read.schema(_MATCH).parquet(*[f"{path}/block={i}" for i in range(written)])
 
 
 def clean(
