@@ -147,3 +147,19 @@ def test_without_hot_keys_the_join_is_plain(spark):
     left = spark.range(100).withColumnRenamed("id", "k")
     joined = salted_join(left, left.withColumn("v", F.lit(1)), ["k"])
     assert "_salt" not in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_known_sizes_spare_the_looking(spark, monkeypatch):
+    left = spark.createDataFrame([(1, i) for i in range(50)] + [(None, 50), (2, 51)], "k int, x int")
+    right = spark.createDataFrame([(1, "a"), (2, "b")], "k int, y string")
+    expected = rows(left.join(right, ["k"], "left"))
+    spread = lookup_join(left, right, ["k"], rows=10, broadcast_rows=5, rows_per_task=10)
+    assert rows(spread) == expected
+
+    def never(*_):
+        raise AssertionError("a known size needs no job")
+
+    monkeypatch.setattr("sparkmart.operators.joins.is_bounded", never)
+    monkeypatch.setattr("sparkmart.operators.joins.hot_keys", never)
+    assert rows(lookup_join(left, right, ["k"], rows=2)) == expected
+    assert rows(salted_join(left, right, ["k"], left_rows=52)) == expected
