@@ -5,21 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.operators.joins import ROWS_PER_TASK, salted_join
 from sparkmart.session import materialise
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, n_edges: int, rows_per_task: int) -> DataFrame:
     """Every node hands its smallest neighbour to its larger (or its other smaller) ones.
 
     ``edges`` are (u, v) with u > v. The large star looks at neighbours on both sides, the
-    small star at smaller ones only; both keep the components as they are.
+    small star at smaller ones only; both keep the components as they are. There are at most
+    ``n_edges`` of them; a node with more than ``rows_per_task`` neighbours is spread over tasks.
     """
     both = edges
     if large:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
     least = least.select("u", F.least("u", "m").alias("m"))
-    met = both.join(least, "u")
+    met = salted_join(
+        both, least, ["u"], "inner", left_rows=2 * n_edges, rows_per_task=rows_per_task
+    )
     if large:
         out = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # a node without larger neighbours keeps the link to its smallest one
@@ -30,7 +34,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u > v").distinct()
 
 
-def components(edges: DataFrame, folder: str) -> DataFrame:
+def components(
+    edges: DataFrame, folder: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """``node`` and ``component`` (its smallest node) of all nodes in ``edges`` (u, v longs).
 
     Each round is written below ``folder``, so a lost executor costs one round at most. Two
@@ -51,7 +57,10 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
         if summary[0] == 0 or tuple(summary) == state:
             break
         state, turn = tuple(summary), turn + 1
-        current = materialise(_star(_star(current, True), False), f"{folder}/round{turn}")
+        n = summary[0]
+        # a large star leaves one edge per edge, and one for each of up to 2 n nodes
+        stars = _star(_star(current, True, n, rows_per_task), False, 3 * n, rows_per_task)
+        current = materialise(stars, f"{folder}/round{turn}")
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

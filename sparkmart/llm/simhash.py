@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.operators.joins import salted_join
 from sparkmart.session import materialise, workspace
 
 from . import text as tx
@@ -28,6 +29,8 @@ from .components import components
 
 TILE = 4096
 TILES_PER_TASK = 16
+#: Rows of one fingerprint (exact copies, texts without a word) that a single task may be given.
+ROWS_PER_TASK = 4_000_000
 SEED = 42
 
 _UPPER = np.arange(256, dtype=np.uint8)
@@ -297,11 +300,13 @@ def _linked(
         prints.groupBy("print").agg(F.min("doc_id").alias("doc_id")), f"{folder}/nodes"
     )
     edges = near_edges(nodes.select("print"), radius)
-    linked = components(edges, f"{folder}/components")  # node, component: a print each
+    linked = components(edges, f"{folder}/components", ROWS_PER_TASK)  # node, component: a print each
     label = (
         nodes.join(linked, nodes["print"] == linked["node"], "left")
         .select("print", "doc_id", F.coalesce("component", "print").alias("component"))
     )
     least = label.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = label.join(least, "component").select("print", "component", "component_id")
-    return prints.join(named, "print")
+    return salted_join(
+        prints, named, ["print"], "inner", left_rows=prints.count(), rows_per_task=ROWS_PER_TASK
+    )
