@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.operators.joins import lookup_join
 from sparkmart.session import workspace
 
 from . import text as tx
@@ -163,6 +164,16 @@ def _cleaning(items: list[tuple[int, str]], chars_per_error: int, at: int):
     return keep
 
 
+def _hitting(items: list[tuple[int, str]], chars_per_error: int):
+    def hit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(items, chars_per_error)
+        for piece in tx.pieces(batches, 2):
+            found = [next(finder.find(t), None) is not None for t in piece.column(2).to_pylist()]
+            yield piece.select([0, 1]).filter(pa.array(found, pa.bool_()))
+
+    return hit
+
+
 def _spans(starts: list[int], size: int, most: int) -> Iterator[tuple[int, int]]:
     """Parts of the text that hold every match whose piece was hit, overlaps united."""
     low = high = None
@@ -222,8 +233,32 @@ def matches(
 def clean(
     docs: DataFrame, benchmark: DataFrame, chars_per_error: int = CHARS_PER_ERROR
 ) -> DataFrame:
-    """The rows of ``docs``, with all columns, in whose ``text`` no item is found."""
-    for items in _blocks(benchmark):
+    """The rows of ``docs``, with all columns, in whose ``text`` no item is found.
+
+    Null and empty texts stay, repeated rows stay or go together, and an empty benchmark keeps
+    all. Where the benchmark has more than one block, two 64-bit hashes of the texts with an item
+    are written block by block (the driver and the plan hold two blocks, however many there are),
+    and the rows with these hashes go.
+    """
+    blocks = _blocks(benchmark)
+    items, following = next(blocks, None), next(blocks, None)
+    if not items:
+        return docs
+    if not following:
         keep = _cleaning(items, chars_per_error, docs.columns.index("text"))
-        docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+        return docs.mapInArrow(keep, docs.schema)
+    spark = docs.sparkSession
+    keys = tx.free_names(docs.columns, "key_a", "key_b")
+    has_text = F.col("text").isNotNull()
+    hashes = [F.when(has_text, F.xxhash64(F.lit(i), "text")).alias(k) for i, k in enumerate(keys)]
+    texts = docs.where(has_text).select(*hashes, "text")
+    schema = ", ".join(f"{k} long" for k in keys)
+    path, written = workspace(spark, "contaminated"), []
+    while items:
+        found = texts.mapInArrow(_hitting(items, chars_per_error), schema).distinct()
+        written.append(f"{path}/block={len(written)}")
+        found.write.mode("overwrite").parquet(written[-1])
+        items, following = following, next(blocks, None)
+    gone = spark.read.schema(schema).parquet(*written).distinct()
+    kept = lookup_join(docs.select("*", *hashes), gone, list(keys), "left_anti")
+    return kept.select(*[f"`{c}`" for c in docs.columns])

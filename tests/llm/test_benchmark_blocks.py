@@ -25,3 +25,18 @@ def test_blocks_give_the_same_matches(spark, monkeypatch):
     assert found() == once and len(once) > 40
     assert kept() == clean and len(clean) == 2
     assert decontaminate.matches(docs, benchmark.limit(0)).count() == 0
+
+
+def test_clean_by_blocks_gives_rows_back_as_they_were(spark, edge, empty, monkeypatch):
+    said = [f"question number {i} asks how many of the {i * 37} birds came home in spring" for i in range(40)]
+    benchmark = spark.createDataFrame(list(enumerate(said)), "item_id long, text string")
+    rows = [(1, said[7], "en", "s", 1)] * 2 + [(2, f"{said[7]} and {said[9]}", None, "s", 1)]
+    docs = edge.unionByName(spark.createDataFrame(rows, empty.schema), allowMissingColumns=True)
+    docs = docs.selectExpr("*", "3 AS key_a", "map('k', doc_id) AS key_B", "4 AS `a.b`")
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 500)
+    got = decontaminate.clean(docs, benchmark)
+    assert got.columns == docs.columns
+    kept = docs.where("doc_id IS NULL OR doc_id > 2")
+    assert sorted(map(str, got.collect())) == sorted(map(str, kept.collect()))
+    assert decontaminate.clean(empty, benchmark).count() == 0
+    assert decontaminate.clean(docs, benchmark.limit(0)).count() == docs.count()
