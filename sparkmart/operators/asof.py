@@ -25,6 +25,7 @@ def asof_join(
     *,
     valid_from: str = "valid_from_key",
     valid_to: str = "valid_to_key",
+    keys_from: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
@@ -33,7 +34,7 @@ def asof_join(
     Empty intervals can match nothing and are dropped first. What is left of one key are
     disjoint, non-empty intervals of whole days, so a key has at most one version per day
     and the range test looks at a bounded number of versions per fact. Facts of a hot key
-    are split over tasks by the join itself.
+    are split over tasks by the join itself; ``keys_from`` is where it may look for them.
     """
     candidates = versions.where(
         F.col(key).isNotNull()
@@ -50,6 +51,7 @@ def asof_join(
         [key],
         "left",
         residual=valid_at(F.col(at), F.col("_valid_from"), F.col("_valid_to")),
+        keys_from=keys_from,
         broadcast_rows=broadcast_rows,
         rows_per_task=rows_per_task,
     ).drop("_valid_from", "_valid_to")

@@ -39,6 +39,7 @@ def lookup_join(
     residual: Column | None = None,
     sized_by: DataFrame | None = None,
     rows: int | None = None,
+    keys_from: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
@@ -48,6 +49,7 @@ def lookup_join(
     two sides must share no column name; ``residual`` may then refer to columns of both by
     name. ``sized_by`` is a cheaper table to count that has at least as many rows as
     ``right``; ``rows`` is such a number, where it is known already, and nothing is counted.
+    ``keys_from`` is as for ``salted_join``.
     """
     if rows is None:
         bounded = is_bounded(right if sized_by is None else sized_by, broadcast_rows)
@@ -55,7 +57,7 @@ def lookup_join(
         bounded = rows <= broadcast_rows
     if bounded:
         return _equi_join(left, F.broadcast(right), on, how, residual)
-    return salted_join(left, right, on, how, residual=residual, rows_per_task=rows_per_task)
+    return salted_join(left, right, on, how, residual=residual, keys_from=keys_from, rows_per_task=rows_per_task)
 
 
 def sampled(df: DataFrame, rows_per_task: int) -> tuple[DataFrame, float]:
@@ -91,18 +93,21 @@ def salted_join(
     *,
     residual: Column | None = None,
     left_rows: int | None = None,
+    keys_from: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Shuffle join that spreads each hot ``left`` key over as many tasks as it needs.
 
     Without hot keys it is a plain join; none is looked for where ``left`` is known to have so few
-    rows (``left_rows``) that one task can take them all. Salts are a hash of the row, hence the same when a
+    rows (``left_rows``) that one task can take them all. ``keys_from`` is a table to look in that is
+    cheaper to read than ``left`` and has each key at least as often, such as the one ``left`` was
+    reduced from; else ``left`` itself, with all that leads to it, is computed once more. Salts are a hash of the row, hence the same when a
     lost task is run again. Exact copies of a row share a salt; should they alone fill a
     task, adaptive execution splits it by its inputs, which a plain shuffle join such as
     this one allows.
     """
     fits = left_rows is not None and left_rows <= rows_per_task
-    hot = None if fits else hot_keys(left, on, rows_per_task)
+    hot = None if fits else hot_keys(left if keys_from is None else keys_from, on, rows_per_task)
     if hot is None:
         return _equi_join(left, right, on, how, residual)
     hot = F.broadcast(

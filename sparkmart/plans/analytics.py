@@ -148,7 +148,7 @@ def revenue_trend(sales: DataFrame, products: DataFrame) -> DataFrame:
     prices = products.select("product_scd_key", "product_price")
     amount = (F.col("_units") * F.col("product_price")).cast(AMOUNT)
     monthly = (
-        lookup_join(units, prices, ["product_scd_key"])
+        lookup_join(units, prices, ["product_scd_key"], keys_from=live(sales))
         .groupBy(key_to_date(F.col("_month") * 100 + 1).alias("month"))
         .agg(F.sum("_units").alias("units"), F.sum(amount).cast(AMOUNT).alias("revenue"))
     )
@@ -200,7 +200,7 @@ def customer_segments(
     prices = products.select("product_scd_key", "product_price")
     amount = (F.col("_units") * F.col("product_price")).cast(AMOUNT)
     value = (
-        lookup_join(units, prices, ["product_scd_key"])
+        lookup_join(units, prices, ["product_scd_key"], keys_from=known)
         .groupBy("customer_key")
         .agg(F.coalesce(F.sum(amount), F.lit(0)).cast(AMOUNT).alias("value"))
     )

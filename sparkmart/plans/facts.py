@@ -32,13 +32,15 @@ def resolve(
     sales: DataFrame,
     dim_products: DataFrame,
     *,
+    keys_from: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Point each sale to the product version valid on its order date.
 
     The version key is stored next to the natural one, so that queries join on equality. A
-    sale without customer or territory goes to the unknown member.
+    sale without customer or territory goes to the unknown member. ``keys_from`` has at least
+    the products of ``sales``, as often, and is cheaper to read.
     """
     found = asof_join(
         sales,
@@ -46,6 +48,7 @@ def resolve(
         "product_key",
         "order_date_key",
         ["product_scd_key"],
+        keys_from=keys_from,
         broadcast_rows=broadcast_rows,
         rows_per_task=rows_per_task,
     )
@@ -80,8 +83,10 @@ def sales_base(
 def sales_increment(staged_log: DataFrame, dim_products: DataFrame, **tuning: int) -> DataFrame:
     """The increment: last event per key, resolved, ready for the upsert.
 
-    Deduplication comes first, so that superseded events are never looked up.
+    Deduplication comes first, so that superseded events are never looked up. Products with very
+    many events are looked for in the log itself, which is not reduced for that.
     """
+    tuning = {"keys_from": staged_log, **tuning}
     return resolve(latest_state(staged_log, SALES_KEYS), dim_products, **tuning)
 
 
