@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from sparkmart.functions.keys import BEGINNING_OF_TIME, date_key, version_id
 from sparkmart.operators.joins import ROWS_PER_TASK
 from sparkmart.operators.neighbours import plan_stretches, with_neighbours
+from sparkmart.session import STORED
 from sparkmart.sources import versions
 from sparkmart.sources.files import children
 
@@ -166,7 +167,8 @@ class History:
         kind = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
         (
             seen.withColumn("_state", kind)
-            .write.partitionBy("_state")
+            .write.options(**STORED)
+            .partitionBy("_state")
             .parquet(f"{self.path}/{folder}")
         )
         written = children(spark, f"{self.path}/{folder}")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.operators.joins import lookup_join
+from sparkmart.session import STORED
 from sparkmart.sources.files import exists
 
 def table_path(root: str, layer: str | None, name: str, default_layer: str = "main") -> str:
@@ -20,7 +21,7 @@ def table_path(root: str, layer: str | None, name: str, default_layer: str = "ma
 
 def load_replace(df: DataFrame, path: str) -> None:
     """Full load: the table afterwards holds exactly ``df``."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**STORED).parquet(path)
 
 
 def load_append(df: DataFrame, path: str, load_id: str) -> None:
@@ -32,6 +33,7 @@ def load_append(df: DataFrame, path: str, load_id: str) -> None:
     (
         df.withColumn("load_id", F.lit(load_id))
         .write.mode("overwrite")
+        .options(**STORED)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("load_id")
         .parquet(path)
