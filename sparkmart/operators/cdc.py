@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparkmart.session import STORED
+
 # Operation codes of a change log.
 DELETE, INSERT, BEFORE, AFTER = 1, 2, 3, 4
 
@@ -94,8 +96,8 @@ def store_snapshot(
     table, as one of them is what a single change costs.
     """
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    stored = df.withColumn("_bucket", bucket).repartition(buckets, "_bucket")
-    stored.write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/rows")
+    stored = df.withColumn("_bucket", bucket).repartitionById(buckets, "_bucket")
+    stored.write.mode("overwrite").options(**STORED).partitionBy("_bucket").parquet(f"{path}/rows")
     rows = df.sparkSession.read.schema(stored.schema).parquet(f"{path}/rows")
     # NULLs leave a hash as it was, so where they are is hashed too.
     nulls = F.concat(*[F.col(f"`{c}`").isNull().cast("string") for c in df.columns])
@@ -105,7 +107,7 @@ def store_snapshot(
         F.sum(F.xxhash64(nulls, *values).cast("decimal(38,0)")).alias("_sum"),
         F.bit_xor(F.xxhash64(F.lit(1), nulls, *values)).alias("_xor"),
     )
-    sums.write.mode("overwrite").parquet(f"{path}/checksums")
+    sums.write.mode("overwrite").options(**STORED).parquet(f"{path}/checksums")
 
 
 def stored_diff(spark: SparkSession, old: str, new: str, keys: Sequence[str]) -> DataFrame:

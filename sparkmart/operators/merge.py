@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from sparkmart.functions.keys import UNKNOWN_KEY
 from sparkmart.operators.joins import lookup_join
+from sparkmart.session import STORED
 from sparkmart.sources import versions
 from sparkmart.sources.files import children, exists, remove
 
@@ -48,6 +49,23 @@ def number_range_bucket(
     return F.coalesce(F.pmod(ranged, F.lit(buckets)), without)
 
 
+def dealt_out(
+    sizes: Mapping[int, int], rows_per_task: int
+) -> tuple[list[tuple[int, int, int]], int]:
+    """For each bucket its first task and how many it has, and the number of all tasks."""
+    dealt, first, filled = [], 0, 0
+    for bucket, rows in sorted(sizes.items()):
+        parts = max(1, -(-rows // rows_per_task))
+        if filled and (parts > 1 or filled + rows > rows_per_task):
+            first, filled = first + 1, 0
+        dealt.append((bucket, first, parts))
+        if parts > 1:
+            first += parts
+        else:
+            filled += max(1, rows)
+    return dealt, first + (1 if filled else 0)
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """A keyed table at ``path``, with one writer at a time.
@@ -108,24 +126,22 @@ class KeyedTable:
     def _clustered(self, df: DataFrame, sizes: Mapping[int, int]) -> DataFrame:
         """Bring the rows of each bucket together in enough tasks, each key in one of them.
 
-        The number of tasks follows from the rows, not from the session's settings.
-        ``sizes`` holds one entry per bucket; only those that need several tasks are sent
-        along.
+        The number of tasks follows from the rows, not from the session's settings. Tasks are
+        dealt out by number: a large bucket has some of its own, small ones share one, and none
+        gets more than about ``rows_per_file`` rows. ``sizes`` holds one entry per bucket.
         """
-        large = [
-            (b, -(-n // self.rows_per_file)) for b, n in sizes.items() if n > self.rows_per_file
-        ]
-        tasks = -(-sum(sizes.values()) // self.rows_per_file)
-        part = F.lit(0).cast("bigint")
-        if large:
-            parts = df.sparkSession.createDataFrame(large, f"{BUCKET} bigint, _parts bigint")
-            df = df.join(F.broadcast(parts), BUCKET, "left")
-            hashed = F.pmod(F.xxhash64(F.lit(1), *self.keys), F.col("_parts"))
-            part = F.coalesce(hashed, part)
+        dealt, tasks = dealt_out(sizes, self.rows_per_file)
+        if tasks <= 1:
+            return df.withColumn("_part", F.lit(0)).repartitionById(1, "_part")
+        places = df.sparkSession.createDataFrame(
+            dealt, f"{BUCKET} bigint, _first int, _parts int"
+        )
+        hashed = F.pmod(F.xxhash64(F.lit(1), *self.keys), F.col("_parts")).cast("int")
+        part = F.coalesce(F.col("_first") + hashed, F.lit(0))
         return (
-            df.withColumn("_part", part)
-            .select(*[c for c in df.columns if c != "_parts"], "_part")
-            .repartition(max(1, tasks), BUCKET, "_part")
+            df.join(F.broadcast(places), BUCKET, "left")
+            .select(*df.columns, part.alias("_part"))
+            .repartitionById(tasks, "_part")
         )
 
     def replace(self, rows: DataFrame, keys_from: DataFrame | None = None) -> None:
@@ -141,6 +157,7 @@ class KeyedTable:
         target = self.path if touched is None else self._staged
         (
             rows.write.mode("overwrite")
+            .options(**STORED)
             .option("partitionOverwriteMode", "static")
             .partitionBy(BUCKET)
             .parquet(target)
@@ -205,6 +222,7 @@ class KeyedTable:
             spark.read.schema(self._stored)
             .parquet(self._staged)
             .write.mode("overwrite")
+            .options(**STORED)
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BUCKET)
             .parquet(self.path)
@@ -283,7 +301,7 @@ class VersionedTable(KeyedTable):
             raise ValueError("a given version can only be read")
         spark, before = rows.sparkSession, versions.current(rows.sparkSession, self.path)
         folder = versions.fresh_folder()
-        rows.write.partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
+        rows.write.options(**STORED).partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
         names = children(spark, f"{self.path}/{folder}")
         written = tuple(
             sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{BUCKET}="))
@@ -323,7 +341,8 @@ class VersionedTable(KeyedTable):
             .groupBy("name", "key", BUCKET)
             .agg(F.min("value").alias("least"), F.count(F.lit(1)).alias("n"))
             .select("name", "key", "least", "n", BUCKET)
-            .write.parquet(f"{self.path}/_summary/{part.folder}")
+            .write.options(**STORED)
+            .parquet(f"{self.path}/_summary/{part.folder}")
         )
 
     def summary(self, spark: SparkSession, name: str) -> DataFrame:
