@@ -31,7 +31,7 @@ from sparkmart.operators.staging import staged
 from sparkmart.plans import dims, facts
 from sparkmart.plans.calendar import dim_calendar, spine_over
 from sparkmart.plans.star import Star
-from sparkmart.session import allow_for, materialise, workspace
+from sparkmart.session import allow_for, allow_scans, materialise, workspace
 
 #: Changes up to this day belong to the baseline, later ones come as increments.
 LAST_BASELINE_DAY = date(1997, 12, 31)
@@ -70,7 +70,9 @@ class Sources:
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
             "l_shipdate",
         )
-        allow_for(self.spark, lines.count())
+        rows = lines.count()
+        allow_for(self.spark, rows)
+        allow_scans(self.spark, rows)
         return lookup_join(lines, headers, ["l_orderkey"], "inner", sized_by=orders)
 
     def sales_log(self, lines: DataFrame | None = None) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 STORED = {"compression": "zstd"}
 #: Rows of a large table that a task should be given after a shuffle.
 ROWS_PER_SHUFFLE_TASK = 250_000
+#: Rows of a large table that a task should read: it may have to sort them before a shuffle.
+ROWS_PER_SCAN_TASK = 500_000
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -46,6 +48,20 @@ def allow_for(spark: SparkSession, rows: int) -> None:
         spark.conf.set(initial, str(wanted))
 
 
+def allow_scans(spark: SparkSession, rows: int) -> None:
+    """Let the session cut the files of a table of ``rows`` rows into enough tasks.
+
+    By default a task reads up to 128 MB of a file, which are millions of rows where they are
+    stored well, and more than fits its memory where it sorts or groups them before a shuffle
+    (``latest_state`` does). A higher number, given or set before, stays.
+    """
+    name = "spark.sql.files.minPartitionNum"
+    now = spark.conf.get(name, None) or spark.sparkContext.defaultParallelism
+    wanted = -(-rows // ROWS_PER_SCAN_TASK)
+    if wanted > int(now):
+        spark.conf.set(name, str(wanted))
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder for tables that a job writes and reads back.
 

@@ -135,3 +135,25 @@ def test_buckets_of_a_snapshot_have_a_task_each(spark, table, monkeypatch):
     cdc.store_snapshot(spark.range(500), path, ["id"], 16)
     assert len(placed) == 16 and {r[1] for r in placed} == {1}
     assert spark.read.parquet(f"{path}/rows").count() == 500
+
+
+def test_a_large_table_is_read_by_enough_tasks(spark, table):
+    name, path = "spark.sql.files.minPartitionNum", table()
+    before, cost = spark.conf.get(name, None), "spark.sql.files.openCostInBytes"
+    many = spark.sparkContext.defaultParallelism * 10
+    try:
+        session.allow_scans(spark, 10)
+        assert spark.conf.get(name, None) == before
+        spark.conf.set(cost, "1")
+        spark.range(40_000).repartition(many // 2).write.parquet(path)
+        few = spark.read.parquet(path).rdd.getNumPartitions()
+        session.allow_scans(spark, many * session.ROWS_PER_SCAN_TASK)
+        assert spark.conf.get(name) == str(many)
+        assert spark.read.parquet(path).rdd.getNumPartitions() > 2 * few
+        session.allow_scans(spark, session.ROWS_PER_SCAN_TASK)
+        assert spark.conf.get(name) == str(many)
+    finally:
+        spark.conf.unset(cost)
+        spark.conf.unset(name)
+        if before is not None:
+            spark.conf.set(name, before)
