@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.functions.keys import UNKNOWN_KEY
+from sparkmart.functions.packing import pack_hex, unpack_hex
 from sparkmart.operators.joins import lookup_join
 from sparkmart.session import STORED
 from sparkmart.sources import versions
@@ -71,7 +72,8 @@ class KeyedTable:
     """A keyed table at ``path``, with one writer at a time.
 
     ``bucket`` must be an expression over the key columns. A bucket is written by as many
-    tasks as its rows ask for, ``rows_per_file`` each, whatever its size.
+    tasks as its rows ask for, ``rows_per_file`` each, whatever its size. ``hex_widths`` names
+    columns of hexadecimal text and their usual width, which are shuffled as bytes.
     """
 
     path: str
@@ -81,6 +83,7 @@ class KeyedTable:
     order_cols: tuple[str, ...] = ("lsn", "seqval")
     rows_per_file: int = 1_000_000
     delete_mode: str = "soft"
+    hex_widths: tuple[tuple[str, int], ...] = ()
 
     def __post_init__(self):
         if self.delete_mode not in ("soft", "hard"):
@@ -138,11 +141,13 @@ class KeyedTable:
         )
         hashed = F.pmod(F.xxhash64(F.lit(1), *self.keys), F.col("_parts")).cast("int")
         part = F.coalesce(F.col("_first") + hashed, F.lit(0))
-        return (
-            df.join(F.broadcast(places), BUCKET, "left")
-            .select(*df.columns, part.alias("_part"))
-            .repartitionById(tasks, "_part")
+        placed = df.join(F.broadcast(places), BUCKET, "left").select(
+            *df.columns, part.alias("_part")
         )
+        if not self.hex_widths:
+            return placed.repartitionById(tasks, "_part")
+        packed = pack_hex(placed, self.hex_widths).repartitionById(tasks, "_part")
+        return unpack_hex(packed, self.hex_widths)
 
     def replace(self, rows: DataFrame, keys_from: DataFrame | None = None) -> None:
         """Full refresh: the table afterwards holds exactly ``rows``, one per key.

@@ -14,6 +14,8 @@ from sparkmart.operators.merge import Summary, VersionedTable, Waiting, number_r
 from sparkmart.session import materialise, workspace
 
 SALES_KEYS = ("order_number", "order_line_item")
+#: Version ids and log positions, which make up most of a row.
+HEX_WIDTHS = (("product_scd_key", 32), ("lsn", 20), ("seqval", 20))
 SALES_SCHEMA = (
     "order_number string, order_line_item bigint, order_date_key int, stock_date_key int, "
     "product_scd_key string, product_key bigint, customer_key bigint, territory_key bigint, "
@@ -167,6 +169,7 @@ def sales_table(
         number_range_bucket("order_number", orders_per_bucket),
         rows_per_file=rows_per_file,
         delete_mode=delete_mode,
+        hex_widths=HEX_WIDTHS,
         waiting=WAITING,
         summaries=check_summaries(),
     )
