@@ -706,12 +706,16 @@ def _(s: Shop) -> DataFrame:
 
 @query("t3_out_of_order_increments")
 def _(s: Shop) -> DataFrame:
-    """Increments delivered newest first, the newest once more at the end."""
+    """Increments delivered newest first, the newest once more at the end.
+
+    No one reads the fact in between, so each increment's version goes with the next one.
+    """
     table = s.sales_table(_scratch(s, "late"))
     slices = _log_slices(s)
     for part in (*reversed(slices), slices[-1]):
         events = staged("sales_log", part)
         table.upsert(facts.sales_increment(events, s.dim_products), keys_from=events)
+        versions.vacuum(s.spark, table.path, last=1)
     return _fact(table.read(s.spark))
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from sparkmart.functions.keys import UNKNOWN_KEY
 from sparkmart.functions.packing import pack_hex, unpack_hex
 from sparkmart.operators.joins import lookup_join
-from sparkmart.session import STORED
+from sparkmart.session import STORED, shuffles_dropped
 from sparkmart.sources import versions
 from sparkmart.sources.files import children, exists, remove
 
@@ -160,13 +160,14 @@ class KeyedTable:
     def _store(self, rows: DataFrame, touched: list[int] | None) -> None:
         """Let ``rows`` take the place of the ``touched`` buckets, or of the whole table."""
         target = self.path if touched is None else self._staged
-        (
-            rows.write.mode("overwrite")
-            .options(**STORED)
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(BUCKET)
-            .parquet(target)
-        )
+        with shuffles_dropped(rows.sparkSession):
+            (
+                rows.write.mode("overwrite")
+                .options(**STORED)
+                .option("partitionOverwriteMode", "static")
+                .partitionBy(BUCKET)
+                .parquet(target)
+            )
         if touched is not None:
             self._publish(rows.sparkSession)
 
@@ -306,7 +307,8 @@ class VersionedTable(KeyedTable):
             raise ValueError("a given version can only be read")
         spark, before = rows.sparkSession, versions.current(rows.sparkSession, self.path)
         folder = versions.fresh_folder()
-        rows.write.options(**STORED).partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
+        with shuffles_dropped(spark):
+            rows.write.options(**STORED).partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
         names = children(spark, f"{self.path}/{folder}")
         written = tuple(
             sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{BUCKET}="))
@@ -341,14 +343,15 @@ class VersionedTable(KeyedTable):
                 for r in rules
             ]
         )
-        (
-            rows.select(BUCKET, F.inline(F.array_compact(entries)))
-            .groupBy("name", "key", BUCKET)
-            .agg(F.min("value").alias("least"), F.count(F.lit(1)).alias("n"))
-            .select("name", "key", "least", "n", BUCKET)
-            .write.options(**STORED)
-            .parquet(f"{self.path}/_summary/{part.folder}")
-        )
+        with shuffles_dropped(spark):
+            (
+                rows.select(BUCKET, F.inline(F.array_compact(entries)))
+                .groupBy("name", "key", BUCKET)
+                .agg(F.min("value").alias("least"), F.count(F.lit(1)).alias("n"))
+                .select("name", "key", "least", "n", BUCKET)
+                .write.options(**STORED)
+                .parquet(f"{self.path}/_summary/{part.folder}")
+            )
 
     def summary(self, spark: SparkSession, name: str) -> DataFrame:
         """key, least, n and bucket of the live buckets; keys are text."""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +64,25 @@ def allow_scans(spark: SparkSession, rows: int) -> None:
         spark.conf.set(name, str(wanted))
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes in here leave no shuffle files behind, which nothing would read again.
+
+    By default they stay until the driver happens to collect its garbage, so a job of several
+    writes holds what all of them have shuffled beside its tables.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder for tables that a job writes and reads back.
 
@@ -80,5 +101,6 @@ def workspace(spark: SparkSession, name: str) -> str:
 
 def materialise(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts the lineage and gives real size statistics."""
-    df.write.mode("overwrite").options(**STORED).parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").options(**STORED).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
