@@ -109,3 +109,11 @@ def test_increments_out_of_order_keep_one_version(spark, shop_dir):
     assert fact.count() == 80 == fact.select("order_number", "order_line_item").distinct().count()
     (folder,) = _folders(spark, "late") - before
     assert len(glob(f"{folder}/_gen=*")) == 1 == len(glob(f"{folder}/_summary/_gen=*"))
+
+
+def test_the_repaired_fact_keeps_one_version(spark, shop_dir):
+    before = _folders(spark, "fct_sales_references")
+    fact = QUERIES["m7_repair_stored_fact"](spark, shop_dir)
+    assert fact.count() == 80 and fact.where("customer_key = -1").count() == 0
+    (folder,) = _folders(spark, "fct_sales_references") - before
+    assert len(glob(f"{folder}/_gen=*")) == 1 == len(glob(f"{folder}/_summary/_gen=*"))
