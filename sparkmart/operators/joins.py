@@ -1,7 +1,9 @@
 """Joins of a large table to a lookup table, safe against hot keys on either scale.
 
 A lookup side is broadcast only after its row count has been checked. Beyond the bound the
-join shuffles, and keys too frequent for one task are salted in proportion to their count.
+join shuffles, and keys too frequent for one task are salted in proportion to their count. Spark
+goes by stored size, which is small for many rows stored well, and is only left to choose up to a
+second bound.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from sparkmart.session import materialise, workspace
 
 #: Most rows a broadcast side may have.
 BROADCAST_ROWS = 1_000_000
+#: Most rows of a larger side that Spark may still broadcast, where it takes it for small.
+LEFT_TO_SPARK_ROWS = 2_000_000
 #: Most rows of one key that a single task should be given.
 ROWS_PER_TASK = 4_000_000
 #: Rows a key of that size has in the sample that hot keys are looked for in.
@@ -51,13 +55,23 @@ def lookup_join(
     ``right``; ``rows`` is such a number, where it is known already, and nothing is counted.
     ``keys_from`` is as for ``salted_join``.
     """
-    if rows is None:
-        bounded = is_bounded(right if sized_by is None else sized_by, broadcast_rows)
-    else:
-        bounded = rows <= broadcast_rows
-    if bounded:
+    def within(bound: int) -> bool:
+        if rows is not None:
+            return rows <= bound
+        return is_bounded(right if sized_by is None else sized_by, bound)
+
+    if within(broadcast_rows):
         return _equi_join(left, F.broadcast(right), on, how, residual)
-    return salted_join(left, right, on, how, residual=residual, keys_from=keys_from, rows_per_task=rows_per_task)
+    return salted_join(
+        left,
+        right,
+        on,
+        how,
+        residual=residual,
+        keys_from=keys_from,
+        rows_per_task=rows_per_task,
+        shuffled=not within(LEFT_TO_SPARK_ROWS),
+    )
 
 
 def sampled(df: DataFrame, rows_per_task: int) -> tuple[DataFrame, float]:
@@ -95,6 +109,7 @@ def salted_join(
     left_rows: int | None = None,
     keys_from: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Shuffle join that spreads each hot ``left`` key over as many tasks as it needs.
 
@@ -104,12 +119,12 @@ def salted_join(
     reduced from; else ``left`` itself, with all that leads to it, is computed once more. Salts are a hash of the row, hence the same when a
     lost task is run again. Exact copies of a row share a salt; should they alone fill a
     task, adaptive execution splits it by its inputs, which a plain shuffle join such as
-    this one allows.
+    this one allows. With ``shuffled`` Spark may not broadcast a side it takes for small.
     """
     fits = left_rows is not None and left_rows <= rows_per_task
     hot = None if fits else hot_keys(left if keys_from is None else keys_from, on, rows_per_task)
     if hot is None:
-        return _equi_join(left, right, on, how, residual)
+        return _equi_join(left, right, on, how, residual, shuffled)
     hot = F.broadcast(
         hot.select(*on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts"))
     )
@@ -126,15 +141,23 @@ def salted_join(
         *right.columns,
         F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("_salt"),
     )
-    return _equi_join(salted_left, salted_right, [*on, "_salt"], how, residual).drop("_salt")
+    return _equi_join(salted_left, salted_right, [*on, "_salt"], how, residual, shuffled).drop("_salt")
 
 
 def _equi_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, residual: Column | None
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str,
+    residual: Column | None,
+    shuffled: bool = False,
 ) -> DataFrame:
+    if residual is not None:
+        right = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    if shuffled:
+        right = right.hint("merge")
     if residual is None:
         return left.join(right, list(on), how)
-    right = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
     condition = residual
     for c in on:
         condition = (F.col(c) == F.col(f"_r_{c}")) & condition

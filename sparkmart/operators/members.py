@@ -11,12 +11,16 @@ from pyspark.sql import functions as F
 def missing_keys(
     dim: DataFrame, fact_keys: DataFrame, key: str, unknown_key: object
 ) -> DataFrame:
-    """Each key of ``fact_keys`` once that ``dim`` lacks; NULL and the unknown key aside."""
+    """Each key of ``fact_keys`` once that ``dim`` lacks; NULL and the unknown key aside.
+
+    The keys are dealt out by then, so only those of ``dim`` are shuffled; Spark would broadcast
+    millions of them where they are stored in few bytes.
+    """
     return (
         fact_keys.where(F.col(key).isNotNull() & (F.col(key) != F.lit(unknown_key)))
         .select(F.col(key).cast(dim.schema[key].dataType).alias(key))
         .distinct()
-        .join(dim.select(key), key, "left_anti")
+        .join(dim.select(key).hint("merge"), key, "left_anti")
     )
 
 

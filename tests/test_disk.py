@@ -6,6 +6,7 @@ from datetime import datetime
 from glob import glob
 
 import pytest
+from helpers import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,9 +25,9 @@ def _shuffles(spark):
 
 
 def _events(spark, lsn):
-    rows = spark.range(300).select((F.col("id") % 100).alias("id")).distinct()
+    ids = spark.range(300).select((F.col("id") % 100).alias("id")).distinct()
     marks = [F.lit(lsn).alias("lsn"), F.lit("0").alias("seqval"), F.lit(False).alias("is_deleted")]
-    return rows.select("id", *marks)
+    return ids.select("id", *marks)
 
 
 @pytest.mark.parametrize("kind", [KeyedTable, VersionedTable])
@@ -38,8 +39,8 @@ def test_writes_leave_no_shuffles_behind(spark, table, kind):
     before = _shuffles(spark)
     materialise(_events(spark, "0"), table())
     assert not _shuffles(spark) - before
-    rows = keyed._bucketed(_events(spark, "1"))
-    keyed._store(keyed._clustered(rows, {b: 40 for b in range(4)}).drop("_part"), None)
+    first = keyed._bucketed(_events(spark, "1"))
+    keyed._store(keyed._clustered(first, {b: 40 for b in range(4)}).drop("_part"), None)
     assert not _shuffles(spark) - before
     sizes = {b: 40 for b in keyed._sizes(keyed.read(spark))}
     before = _shuffles(spark)
@@ -117,3 +118,12 @@ def test_the_repaired_fact_keeps_one_version(spark, shop_dir):
     assert fact.count() == 80 and fact.where("customer_key = -1").count() == 0
     (folder,) = _folders(spark, "fct_sales_references") - before
     assert len(glob(f"{folder}/_gen=*")) == 1 == len(glob(f"{folder}/_summary/_gen=*"))
+
+
+def test_customers_are_not_broadcast_where_they_are_many(spark, shop_dir, monkeypatch):
+    usual = QUERIES["m7_repair_keys"](spark, shop_dir)
+    monkeypatch.setattr("sparkmart.operators.joins.is_bounded", lambda df, n: False)
+    many = QUERIES["m7_repair_keys"](spark, shop_dir)
+    assert "Broadcast" in usual._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in many._jdf.queryExecution().executedPlan().toString()
+    assert rows(many) == rows(usual) and many.count() > 0

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.operators.asof import asof_join
 from sparkmart.operators.joins import hot_keys, lookup_join, salted_join
+from sparkmart.operators.members import missing_keys
 from sparkmart.plans.facts import resolve, sales_base
 
 VERSIONS = "product_scd_key string, product_key bigint, valid_from_key int, valid_to_key int"
@@ -99,6 +100,39 @@ def test_small_side_is_broadcast_and_large_side_is_not(spark):
     assert "strategy=broadcast" not in beyond
 
 
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("hot", [False, True])
+def test_spark_may_not_broadcast_what_has_very_many_rows(spark, how, hot, monkeypatch):
+    left = spark.range(60).select((F.col("id") % (3 if hot else 30)).alias("k"), "id")
+    right = spark.range(0, 20, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+
+    def joined(**options):
+        return lookup_join(left, right, ["k"], how, broadcast_rows=5, rows_per_task=10, **options)
+
+    def small(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin")
+
+    spreading = 2 if hot else 0  # of both sides, by the few hot keys
+    expected = rows(left.join(right, ["k"], how))
+    assert small(joined()) == spreading + 1 and rows(joined()) == expected
+    monkeypatch.setattr("sparkmart.operators.joins.LEFT_TO_SPARK_ROWS", 9)
+    assert small(joined()) == spreading == small(joined(rows=10)) and rows(joined()) == expected
+    assert small(joined(rows=9)) == spreading + 1
+    if how == "left":
+        residual = {"residual": F.col("id") > F.col("v")}
+        matched = (F.col("k") == F.col("_k")) & (F.col("id") > F.col("v"))
+        plain = left.join(right.withColumnRenamed("k", "_k"), matched, "left").drop("_k")
+        assert small(joined(**residual)) == spreading and rows(joined(**residual)) == rows(plain)
+
+
+def test_members_of_a_large_dimension_are_not_broadcast(spark):
+    dim = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    used = spark.createDataFrame([(1,), (3,), (3,), (None,), (-1,)], "k bigint")
+    missing = missing_keys(dim, used, "k", -1)
+    assert "Broadcast" not in missing._jdf.queryExecution().executedPlan().toString()
+    assert rows(missing) == [(3,)]
+
+
 SALE = (
     "order_number string, order_line_item bigint, order_date_key int, stock_date_key int, "
     "product_key bigint, customer_key bigint, territory_key bigint, order_quantity bigint"
